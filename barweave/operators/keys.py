@@ -13,15 +13,17 @@ from barweave.session import materialize
 POSITION_BITS = 33  # layout of monotonically_increasing_id: partition, then position
 
 
-def null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of all keys where null matches null."""
-    return reduce(Column.__and__, (left[key].eqNullSafe(right[key]) for key in keys))
+def null_safe_match(keys: Sequence[str], left: str = "l", right: str = "r") -> Column:
+    """Equality of all keys of two aliased sides, where null matches null."""
+    return reduce(
+        Column.__and__, (F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys)
+    )
 
 
 def absent_rows(existing: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct candidate keys that ``existing`` does not hold."""
-    fresh = candidates.select(*keys).distinct()
-    return fresh.join(existing, null_safe_match(fresh, existing, keys), "left_anti")
+    fresh = candidates.select(*keys).distinct().alias("l")
+    return fresh.join(existing.alias("r"), null_safe_match(keys), "left_anti")
 
 
 def number_rows(rows: DataFrame, keys: Sequence[str], start: Column, name: str = "id") -> DataFrame:

@@ -32,7 +32,7 @@ def broadcast_if_small(
     return F.broadcast(df)
 
 
-def only_value(dimension: DataFrame, column: str, **equals: str) -> Column:
+def only_value(dimension: DataFrame, column: str, /, **equals: str) -> Column:
     """The one value of ``column`` where all ``equals`` hold, as a scalar subquery.
 
     Runs once before the main query, so attaching it to facts needs no join.
@@ -43,11 +43,11 @@ def only_value(dimension: DataFrame, column: str, **equals: str) -> Column:
 
 
 def with_single_id(
-    rows: DataFrame, dimension: DataFrame, name: str, **equals: str
+    rows: DataFrame, dimension: DataFrame, id_column: str, /, **equals: str
 ) -> DataFrame:
     """Every row with the id of one dimension row; no rows when that is absent."""
-    found = rows.select(only_value(dimension, "id", **equals).alias(name), *rows.columns)
-    return found.where(F.col(name).isNotNull())
+    found = rows.select(only_value(dimension, "id", **equals).alias(id_column), *rows.columns)
+    return found.where(F.col(id_column).isNotNull())
 
 
 def contract_ids(

@@ -52,16 +52,17 @@ def tick_bar_stats(
         .withColumn("scale", F.explode(F.array(*[F.lit(s) for s in scales])))
         .withColumn("datetime", round_up_minutes(F.timestamp_micros("_minute"), F.col("scale")))
     )
-    match = null_safe_match(minutes, per_bar, (*keys, "scale", "datetime"))
     bar_struct = F.struct(
-        *(per_bar[c].alias(c) for c in ("scale", "datetime")),
-        *(per_bar[c].alias(f"bar_{c}") for c in values),
+        *(F.col(f"r.{c}").alias(c) for c in ("scale", "datetime")),
+        *(F.col(f"r.{c}").alias(f"bar_{c}") for c in values),
     )
+    minute_keys = (*keys, "_minute")
     by_minute = (
-        minutes.join(per_bar, match)
-        .select(*(minutes[c] for c in (*keys, "_minute")), bar_struct.alias("_bar"))
-        .groupBy(*keys, "_minute")
+        minutes.alias("l")
+        .join(per_bar.alias("r"), null_safe_match((*keys, "scale", "datetime")))
+        .select(*(F.col(f"l.{c}") for c in minute_keys), bar_struct.alias("_bar"))
+        .groupBy(*minute_keys)
         .agg(F.collect_list("_bar").alias("_bars"))
     )
-    joined = timed.join(by_minute, null_safe_match(timed, by_minute, (*keys, "_minute")))
-    return joined.select(*(timed[c] for c in ticks.columns), F.inline("_bars"))
+    joined = timed.alias("l").join(by_minute.alias("r"), null_safe_match(minute_keys))
+    return joined.select(*(F.col(f"l.{c}") for c in ticks.columns), F.inline("r._bars"))

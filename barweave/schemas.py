@@ -130,6 +130,15 @@ OPTIONS = Subject(
 )
 SUBJECTS = {s.name: s for s in (INDEX, ETF, FUTURES, OPTIONS)}
 
+# Bars of all subjects in one table; keys a subject lacks are null.
+BARS = _struct(
+    *((name, T.StringType(), True) for name in OPTIONS.staging_keys),
+    *_BAR_FIELDS,
+    *_VOLUME,
+    ("subject", T.StringType(), True),
+    ("ds", T.DateType(), True),
+)
+
 # Warehouse tables. Partition columns stand last, as the file layout has them.
 INDEX_DIM = _struct(
     ("id", T.IntegerType(), False),
