@@ -124,7 +124,8 @@ def tick_order(path: Column, row_no: Column) -> Column:
 def parse_csv(lines: DataFrame, schema: T.StructType, *extra: Column) -> DataFrame:
     """CSV fields of each line as text; fields beyond the schema are ignored."""
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    record = F.from_csv("line", schema.simpleString()[len("struct<") : -1], options)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    record = F.from_csv("line", ddl, options)
     return lines.withColumn("_record", record).select(
         *(F.col("_record").getField(name).alias(name) for name in schema.names), *extra
     )
