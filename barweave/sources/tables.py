@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,9 +60,19 @@ def conform(df: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -
     """Columns of ``schema`` by name, in its order, or an error.
 
     A missing column is refused, whether nullable or not, and so is a type that would
-    need a lossy cast. Whether ``required`` ones hold nulls is the quality gate's task.
+    need a lossy cast. A null in a non-nullable column fails the job that meets it, since
+    columns read from files are nullable whatever was written. Whether ``required``
+    columns hold nulls is the quality gate's task; they only have to be there.
     """
     missing = [name for name in (*schema.names, *required) if name not in df.columns]
     if missing:
         raise ValueError(f"columns missing for the table: {missing}")
-    return df.to(schema)
+
+    def guarded(field: T.StructField) -> Column:
+        if field.nullable:
+            return F.col(field.name)
+        error = F.raise_error(F.lit(f"null in column {field.name}"))
+        return F.when(F.col(field.name).isNull(), error).otherwise(F.col(field.name)).alias(field.name)
+
+    shape = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+    return df.select(*(guarded(field) for field in schema)).to(shape)

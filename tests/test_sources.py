@@ -162,3 +162,13 @@ def test_conform(spark):
     assert shaped.columns == ["a", "b"]
     with pytest.raises(ValueError, match="missing"):
         conform(df, TICKS)
+
+
+def test_conform_refuses_nulls_and_lossy_types(spark):
+    wanted = spark.range(1).schema
+    assert conform(spark.sql("select cast(1 as int) as id"), wanted).first().id == 1
+    holed = spark.sql("select cast(x as bigint) as id from values (1), (null) t(x)")
+    with pytest.raises(Exception, match="null in column id"):
+        conform(holed, wanted).collect()
+    with pytest.raises(Exception, match="INVALID_COLUMN_OR_FIELD_DATA_TYPE"):
+        conform(spark.sql("select 'x' as id"), wanted).collect()
