@@ -16,7 +16,7 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        spark_sql_shuffle_partitions="8",
+        spark_sql_shuffle_partitions="4",
         spark_ui_enabled="false",
         spark_driver_memory="6g",
     )
