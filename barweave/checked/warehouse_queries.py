@@ -18,10 +18,16 @@ from barweave.operators.bars import bars
 from barweave.operators.candles import contract_candles, index_candles
 from barweave.operators.keys import new_dimension_rows
 from barweave.operators.labels import label_expiry
-from barweave.operators.lookups import contract_ids, detail_facts, with_single_id
+from barweave.operators.lookups import (
+    broadcast_if_small,
+    contract_ids,
+    detail_facts,
+    with_single_id,
+)
 from barweave.operators.normalize import normalize_futures
 from barweave.operators.quality import duplicate_keys, null_counts, null_flags, orphans
 from barweave.schemas import DERIVATIVE_DIM, DETAIL_DIM, DETAIL_KEYS, FUTURES, SCALES
+from barweave.session import materialize
 
 
 def _grown(existing: DataFrame, candidates: DataFrame, keys) -> DataFrame:
@@ -168,18 +174,14 @@ def fact_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf_dir: str, scales=SCALES) -> DataFrame:
+    """Labelled bars at rest, as dimensions and facts are loaded from."""
     ticks = normalize_futures(order_trades(spark, sf_dir))
-    return label_expiry(bars(ticks, ["ds", *FUTURES.bar_keys], scales))
-
+    return materialize(label_expiry(bars(ticks, ["ds", *FUTURES.bar_keys], scales)))
 
-def _dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Derivatives and details as the load would make them from empty tables.
 
-    Contract keys come from the ticks; no bar is needed to know which contracts exist.
-    """
-    ticks = normalize_futures(order_trades(spark, sf_dir))
-    keys = label_expiry(ticks.select("ds", "contract", "expire").distinct())
-    traded = keys.select("contract", "expire", "expire_code").distinct()
+def _dimensions(spark: SparkSession, staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Derivatives and details as the load makes them from empty tables."""
+    traded = materialize(staged.select(*FUTURES.staging_keys).distinct())
     derivative = new_dimension_rows(
         spark.createDataFrame([], DERIVATIVE_DIM),
         traded.select(
@@ -233,10 +235,11 @@ from staged s join detail d using (contract, expire, expire_code)"""
 )
 def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trades to contract history with surrogate keys: the whole day's chain."""
-    derivative, detail = _dimensions(spark, sf_dir)
+    staged = _staged(spark, sf_dir)
+    derivative, detail = _dimensions(spark, staged)
     keys = FUTURES.staging_keys
-    contracts = contract_ids(derivative, detail, "Futures", keys)
-    return detail_facts(_staged(spark, sf_dir), contracts, keys)
+    contracts = broadcast_if_small(contract_ids(derivative, detail, "Futures", keys))
+    return detail_facts(staged, contracts, keys)
 
 
 _RANGE = ("1996-01-01", "1998-12-31")
@@ -252,9 +255,10 @@ order by datetime"""
 )
 def candles_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarter-hour candles of the front month over three years of orders."""
-    derivative, detail = _dimensions(spark, sf_dir)
-    contracts = contract_ids(derivative, detail, "Futures", FUTURES.staging_keys)
-    history = detail_facts(_staged(spark, sf_dir, [15]), contracts, FUTURES.staging_keys)
+    staged = _staged(spark, sf_dir, [15])
+    derivative, detail = _dimensions(spark, staged)
+    contracts = broadcast_if_small(contract_ids(derivative, detail, "Futures", FUTURES.staging_keys))
+    history = detail_facts(staged, contracts, FUTURES.staging_keys)
     return contract_candles(derivative, detail, history, "TX", "M", 15, *_RANGE)
 
 

@@ -73,51 +73,55 @@ def minute_states(
 ) -> DataFrame:
     """Mergeable state per (keys, minute, run); columns of the state start with ``_``."""
     bound = 1 << (LOW_BITS + RUN_BITS - 1)
-    seq_col = F.when(F.col(seq).between(-bound, bound - 1), F.col(seq).cast("bigint")).otherwise(
-        F.raise_error(F.lit(f"column {seq} must be a number within +-2**{bound.bit_length() - 1}"))
+    error = f"column {seq} must be a number within +-2**{bound.bit_length() - 1}"
+    carried = [*keys, *([volume] if volume is not None else []), *first_tick]
+    timed = ticks.where(F.col(ts).isNotNull()).select(
+        *(F.col(name).alias(f"_at_{name}") if name in first_tick else F.col(name) for name in carried),
+        instant_micros(F.col(ts)).alias("_us"),
+        F.expr(
+            f"case when `{seq}` between {-bound} and {bound - 1} then cast(`{seq}` as bigint)"
+            f" else raise_error('{error}') end as _seq"
+        ),
+        F.col(price).cast(PRICE).alias("_price"),
     )
-    cents = (F.col(price).cast(PRICE) * 100).cast("bigint")
-    rows = (
-        ticks.where(F.col(ts).isNotNull())
-        .withColumns({"_us": instant_micros(F.col(ts)), "_seq": seq_col, "_cents": cents})
-        .withColumn("_minute", bar_end_micros(F.col("_us"), 1))
-        .withColumns(
-            {
-                "_run": F.shiftright("_seq", LOW_BITS),
-                "_ord": F.shiftleft(
-                    F.col("_us") - F.col("_minute") + MICROS_PER_MINUTE, LOW_BITS
-                ).bitwiseOR(F.col("_seq").bitwiseAND((1 << LOW_BITS) - 1)),
-                "_hi": F.shiftright("_cents", LIMB_BITS),
-                "_lo": F.col("_cents").bitwiseAND((1 << LIMB_BITS) - 1),
-            }
-        )
+    carried = [f"_at_{name}" if name in first_tick else name for name in carried]
+    rows = timed.select(
+        *carried,
+        "_price",
+        F.expr("cast(_price * 100 as bigint) as _cents"),
+        bar_end_micros(F.col("_us"), 1).alias("_minute"),
+        F.expr(f"shiftright(_seq, {LOW_BITS}) as _run"),
+        F.expr(
+            f"shiftleft({MICROS_PER_MINUTE} - pmod(-_us, {MICROS_PER_MINUTE}), {LOW_BITS})"
+            f" | (_seq & {(1 << LOW_BITS) - 1}) as _ord"
+        ),
     )
-    price_col = F.col(price).cast(PRICE)
+    high, low = f"shiftright(_cents, {LIMB_BITS})", f"(_cents & {(1 << LIMB_BITS) - 1})"
     aggregates = [
-        F.min("_ord").alias("_first"),
-        F.max("_ord").alias("_last"),
-        F.min_by(price_col, "_ord").alias("_open"),
-        F.max(price_col).alias("_high"),
-        F.min(price_col).alias("_low"),
-        F.max_by(price_col, "_ord").alias("_close"),
-        F.count("_cents").alias("_n"),
-        F.sum("_cents").alias("_sum"),
-        F.sum(F.col("_hi") * F.col("_hi")).alias("_hh"),
-        F.sum(F.col("_hi") * F.col("_lo")).alias("_hl"),
-        F.sum(F.col("_lo") * F.col("_lo")).alias("_ll"),
+        "min(_ord) as _first",
+        "max(_ord) as _last",
+        "min_by(_price, _ord) as _open",
+        "max(_price) as _high",
+        "min(_price) as _low",
+        "max_by(_price, _ord) as _close",
+        "count(_cents) as _n",
+        "sum(_cents) as _sum",
+        f"sum({high} * {high}) as _hh",
+        f"sum({high} * {low}) as _hl",
+        f"sum({low} * {low}) as _ll",
     ]
     if volume is not None:
-        aggregates.append(F.sum(volume).alias("_volume"))
-    aggregates += [F.min_by(name, "_ord").alias(f"_at_{name}") for name in first_tick]
-    return rows.groupBy(*keys, "_minute", "_run").agg(*aggregates)
+        aggregates.append(f"sum(`{volume}`) as _volume")
+    aggregates += [f"min_by(`_at_{name}`, _ord) as `_at_{name}`" for name in first_tick]
+    return rows.groupBy(*keys, "_minute", "_run").agg(*map(F.expr, aggregates))
 
 
-def _rank(position: Column, ordinal: Column, run: Column) -> Column:
+def _rank(ordinal: str) -> str:
     """Minute inside the bar, offset inside the minute, run: in one bigint."""
-    offset = F.shiftright(ordinal, LOW_BITS)
-    return F.shiftleft(
-        F.shiftleft(position, OFFSET_BITS).bitwiseOR(offset), RUN_BITS
-    ) + (run + (1 << (RUN_BITS - 1)))
+    return (
+        f"shiftleft(shiftleft(_position, {OFFSET_BITS}) | shiftright({ordinal}, {LOW_BITS}),"
+        f" {RUN_BITS}) + (_run + {1 << (RUN_BITS - 1)})"
+    )
 
 
 def _roll_up(
@@ -127,40 +131,33 @@ def _roll_up(
     has_volume: bool,
     first_tick: Sequence[str],
 ) -> DataFrame:
-    wide = "decimal(38,0)"
+    """Merge the states of each bar; exact sums leave bigint only here."""
     squares = (
-        F.col("_hh").cast(wide) * F.lit(1 << (2 * LIMB_BITS))
-        + F.col("_hl").cast(wide) * F.lit(1 << (LIMB_BITS + 1))
-        + F.col("_ll").cast(wide)
-    ).cast(wide)
-    rows = (
-        states.withColumn("_squares", squares)
-        .withColumn("scale", F.explode(F.array(*[F.lit(s) for s in scales])))
-        .withColumn("_end", bar_end_micros(F.col("_minute"), F.col("scale")))
-        .withColumn(
-            "_position",
-            F.col("scale") - F.expr(f"(_end - _minute) div {MICROS_PER_MINUTE}"),
-        )
-        .withColumns(
-            {
-                "_first_rank": _rank(F.col("_position"), F.col("_first"), F.col("_run")),
-                "_last_rank": _rank(F.col("_position"), F.col("_last"), F.col("_run")),
-            }
-        )
+        f"cast(cast(_hh as decimal(38,0)) * {1 << (2 * LIMB_BITS)}"
+        f" + cast(_hl as decimal(38,0)) * {1 << (LIMB_BITS + 1)}"
+        " + cast(_ll as decimal(38,0)) as decimal(38,0)) as _squares"
+    )
+    expanded = states.select(
+        "*",
+        F.expr(squares),
+        F.explode(F.array(*map(F.lit, scales))).alias("scale"),
+    ).select("*", bar_end_micros(F.col("_minute"), F.col("scale")).alias("_end"))
+    rows = expanded.select(
+        "*", F.expr(f"scale - (_end - _minute) div {MICROS_PER_MINUTE} as _position")
     )
     aggregates = [
-        F.min_by("_open", "_first_rank").alias("price_open"),
-        F.max("_high").alias("price_high"),
-        F.min("_low").alias("price_low"),
-        F.max_by("_close", "_last_rank").alias("price_close"),
-        F.sum("_n").alias("_n"),
-        F.sum("_sum").alias("_sum"),
-        F.sum("_squares").alias("_squares"),
+        f"min_by(_open, {_rank('_first')}) as price_open",
+        "max(_high) as price_high",
+        "min(_low) as price_low",
+        f"max_by(_close, {_rank('_last')}) as price_close",
+        "sum(_n) as _n",
+        "sum(_sum) as _sum",
+        "sum(_squares) as _squares",
     ]
     if has_volume:
-        aggregates.append(F.sum("_volume").alias("volume"))
-    aggregates += [F.min_by(f"_at_{name}", "_first_rank").alias(name) for name in first_tick]
-    return rows.groupBy(*keys, "scale", "_end").agg(*aggregates)
+        aggregates.append("sum(_volume) as volume")
+    aggregates += [f"min_by(`_at_{name}`, {_rank('_first')}) as `{name}`" for name in first_tick]
+    return rows.groupBy(*keys, "scale", "_end").agg(*map(F.expr, aggregates))
 
 
 def _finish(rolled: DataFrame, keys: Sequence[str], volume: str | None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Cut lineage by writing ``df`` as a table in the shared checkpoint folder.
+
+    Columnar, unlike a checkpointed RDD: later steps read only the columns they need, and
+    their join strategies see the real size.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
