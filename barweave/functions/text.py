@@ -18,8 +18,13 @@ def clock_time(text: Column) -> Column:
 
 
 def to_price(text: Column) -> Column:
-    """Decimal price from text that may be padded, comma-grouped or a dash."""
-    return F.replace(F.trim(text), F.lit(","), F.lit("")).try_cast(PRICE)
+    """Decimal price from text that may be padded, comma-grouped or a dash.
+
+    The dash stands in most fields of spread columns and is sorted out before the cast,
+    where each failure would cost an exception.
+    """
+    digits = F.replace(F.trim(text), F.lit(","), F.lit(""))
+    return F.nullif(digits, F.lit("-")).try_cast(PRICE)
 
 
 def to_count(text: Column) -> Column:
