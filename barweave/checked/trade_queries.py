@@ -19,7 +19,7 @@ from barweave.functions.text import (
 from barweave.operators.bars import bars
 from barweave.operators.labels import label_expiry
 from barweave.operators.normalize import is_spread, normalize_futures, only_contracts
-from barweave.schemas import FUTURES, PRICE
+from barweave.schemas import FUTURES, FUTURES_CONTRACTS, OPTIONS, OPTIONS_CONTRACTS, PRICE
 
 TICK_COLUMNS = ("seq", "ds", "contract", "expire", "ts", "price", "volume")
 
@@ -81,6 +81,40 @@ def bars_futures_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_expiry(bars(ticks, ["ds", *FUTURES.bar_keys]))
 
 
+@checked(
+    f"""select b.* exclude (ds, contract, expire)
+from (select b.*, c.expire_code
+      from ({sql_bars(FUTURES_TICKS, ['ds', 'contract', 'expire'], [30])}) b
+      join ({sql_calendar('select distinct cast(o_orderdate as date) as ds from orders')}) c
+        on c.ds = b.ds and c.expire = b.expire) b
+where contract = 'TX' and expire_code = 'M'"""
+)
+def bars_one_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One group of all contracts and codes: half-hour bars of TX in the front month."""
+    ticks = normalize_futures(order_trades(spark, sf_dir), ("TX",))
+    labelled = label_expiry(bars(ticks, ["ds", *FUTURES.bar_keys], [30]))
+    return labelled.where(F.col("expire_code") == "M").drop("ds", "contract", "expire")
+
+
+@checked(
+    """select o_orderkey as seq,
+       case when o_orderpriority in ('1-URGENT', '2-HIGH') then 'TX'
+            when o_orderpriority = '3-MEDIUM' then 'MTX' else 'ZZZ' end as contract,
+       case when o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM') then 'Futures' end
+         as derivative_type
+from orders"""
+)
+def derivative_type_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map lookup where an unknown contract gives null."""
+    types = {name: FUTURES.derivative_type for name in FUTURES_CONTRACTS}
+    types |= {name: OPTIONS.derivative_type for name in OPTIONS_CONTRACTS}
+    literal = F.create_map(*(F.lit(part) for pair in types.items() for part in pair))
+    contract = F.trim("contract")
+    return order_trades(spark, sf_dir).select(
+        "seq", contract.alias("contract"), literal[contract].alias("derivative_type")
+    )
+
+
 @checked(
     """select p_partkey, trim(p_name) as name, replace(p_name, ' ', '') as name_packed,
        p_brand || ' ' || p_type as brand_type,

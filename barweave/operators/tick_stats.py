@@ -40,16 +40,18 @@ def tick_bar_stats(
 
     The statistics are brought to one row per (keys, minute) holding all scales, and the
     ticks meet them there: the ticks cross the network once, not once per scale, and a
-    hot minute is a skewed join partition that adaptive execution can split.
+    hot minute is a skewed join partition that adaptive execution can split. The minutes
+    are the one-minute bars, so the ticks are read for the states and for the join only.
     """
     values = (*STATS, "volume")
-    minute = bar_end_micros(instant_micros(F.col("ts")), 1)
-    timed = ticks.where(F.col("ts").isNotNull()).withColumn("_minute", minute)
-    per_bar = bars(ticks, keys, scales)
+    per_bar = bars(ticks, keys, sorted({1, *scales}))
     minutes = (
-        timed.select(*keys, "_minute")
-        .distinct()
-        .withColumn("scale", F.explode(F.array(*[F.lit(s) for s in scales])))
+        per_bar.where(F.col("scale") == 1)
+        .select(
+            *keys,
+            F.unix_micros("datetime").alias("_minute"),
+            F.explode(F.array(*map(F.lit, scales))).alias("scale"),
+        )
         .withColumn("datetime", round_up_minutes(F.timestamp_micros("_minute"), F.col("scale")))
     )
     bar_struct = F.struct(
@@ -64,5 +66,7 @@ def tick_bar_stats(
         .groupBy(*minute_keys)
         .agg(F.collect_list("_bar").alias("_bars"))
     )
+    minute = bar_end_micros(instant_micros(F.col("ts")), 1)
+    timed = ticks.where(F.col("ts").isNotNull()).withColumn("_minute", minute)
     joined = timed.alias("l").join(by_minute.alias("r"), null_safe_match(minute_keys))
     return joined.select(*(F.col(f"l.{c}") for c in ticks.columns), F.inline("r._bars"))

@@ -175,3 +175,16 @@ def test_expiry_with_two_codes_is_not_counted_twice(spark, tmp_path):
     bars = read_table(spark, where.bars, BARS).where("scale = 60")
     found = {r.expire_code: r.volume for r in bars.collect()}
     assert found == {"W": 7, "M": 7}
+
+
+def test_submit_script_runs_single_steps(spark, tmp_path, capsys):
+    import run_days as script
+
+    where = Layout(str(tmp_path))
+    land_day(where.root)
+    land_holidays(where.root)
+    for step in ("ingest", "aggregate", "load"):
+        script.main([where.root, ISO, "--step", step, "--subject", "index"])
+    assert warehouse_table(spark, where, "index_history").count() == 6
+    script.main([where.root, "2022-02-01"])
+    assert "0 trading days" in capsys.readouterr().out
