@@ -59,9 +59,11 @@ def register_views(spark: SparkSession, layout: Layout) -> None:
 def add_dimension_rows(
     spark: SparkSession, layout: Layout, name: str, candidates: DataFrame, keys: Sequence[str]
 ) -> None:
+    """Append what is not there yet; most days bring nothing new and write nothing."""
     existing = warehouse_table(spark, layout, name)
     fresh = new_dimension_rows(existing, candidates, keys)
-    fresh.write.mode("append").parquet(layout.warehouse(name))
+    if not fresh.isEmpty():
+        fresh.write.mode("append").parquet(layout.warehouse(name))
 
 
 def load_index(spark: SparkSession, layout: Layout, staged: DataFrame) -> None:

@@ -7,10 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings that change results or the write layout.
+# Runtime settings the results or the plans rely on: instants are read as UTC, an overflow
+# is an error, and adaptive execution splits skewed joins.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -36,29 +37,29 @@ def pin_runtime(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only in local mode.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's folder for cut lineage; a temporary one only in local mode.
 
     A folder on one machine cannot be read again after that executor is lost, so a
     cluster without ``spark.checkpoint.dir`` is an error rather than a guess.
     """
     context = spark.sparkContext
-    configured = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
-    if configured is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="barweave-checkpoint-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
-    return configured
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="barweave-"))
+        folder = context.getCheckpointDir()
+    return folder
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing ``df`` as a table in the shared checkpoint folder.
+    """Cut lineage by writing ``df`` as a table in the shared folder.
 
     Columnar, unlike a checkpointed RDD: later steps read only the columns they need, and
-    their join strategies see the real size.
+    their join strategies see the real size. The tables may be removed once the job that
+    made them is over.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -185,6 +185,6 @@ def test_submit_script_runs_single_steps(spark, tmp_path, capsys):
     land_holidays(where.root)
     for step in ("ingest", "aggregate", "load"):
         script.main([where.root, ISO, "--step", step, "--subject", "index"])
-    assert warehouse_table(spark, where, "index_history").count() == 6
+    assert warehouse_table(spark, where, "index_history").count() == 11
     script.main([where.root, "2022-02-01"])
     assert "0 trading days" in capsys.readouterr().out
