@@ -18,7 +18,8 @@ def bars_all_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars(event_ticks(spark, sf_dir), ["contract"])
 
 
-_AT_INDEX_LEVEL = f"select * replace (cast(price + 18000 as decimal(10,2)) as price) from ({EVENT_TICKS})"
+_AT_INDEX_LEVEL = f"""
+select * replace (cast(price + 18000 as decimal(10,2)) as price) from ({EVENT_TICKS})"""
 
 
 @checked(sql_bars(_AT_INDEX_LEVEL, ["contract"], [60]))
@@ -75,8 +76,9 @@ from ({_WINDOWED}) where n = 1"""
 )
 def bars_window_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-frame window statistics kept at each bar's first tick."""
-    ticks = event_ticks(spark, sf_dir)
-    return bars(ticks.withColumn("first_seq", F.col("seq")), ["contract"], first_tick=["first_seq"]).withColumnRenamed("first_seq", "seq")
+    ticks = event_ticks(spark, sf_dir).withColumn("first_seq", F.col("seq"))
+    made = bars(ticks, ["contract"], first_tick=["first_seq"])
+    return made.withColumnRenamed("first_seq", "seq")
 
 
 @checked(
@@ -86,7 +88,8 @@ def bars_window_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tick_stats_all_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tick at every scale with the statistics of its bar."""
     ticks = event_ticks(spark, sf_dir).drop("user_id")
-    return tick_bar_stats(ticks, ["contract"]).withColumn("bar_price_std", F.round("bar_price_std", 6))
+    stats = tick_bar_stats(ticks, ["contract"])
+    return stats.withColumn("bar_price_std", F.round("bar_price_std", 6))
 
 
 @checked(

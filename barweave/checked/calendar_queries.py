@@ -14,7 +14,12 @@ from barweave.functions.clock import (
     month_day_label,
     roc_year,
 )
-from barweave.functions.expiry import month_name, next_weekly_settlement, weekly_name
+from barweave.functions.expiry import (
+    month_name,
+    monthly_settlement,
+    next_weekly_settlement,
+    weekly_name,
+)
 from barweave.operators.calendar import SATURDAY, holiday_list, mark_trading_days, trading_days
 from barweave.operators.labels import codes_by_expire, expiry_calendar, label_expiry
 from barweave.schemas import MAKE_UP_MEMO
@@ -30,7 +35,10 @@ def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(_day().alias("ds")).distinct()
 
 
-@checked(f"select cast(ds as varchar) as ds, code_no, expire_code, expire from ({sql_calendar(_ORDER_DAYS)})")
+@checked(
+    f"""select cast(ds as varchar) as ds, code_no, expire_code, expire
+from ({sql_calendar(_ORDER_DAYS)})"""
+)
 def expiry_codes_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of all days on which there are orders."""
     return expiry_calendar(_order_days(spark, sf_dir))
@@ -61,9 +69,9 @@ from ({_EXPIRING}) o join ({sql_calendar(_ORDER_DAYS)}) c
 )
 def label_expiry_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly expiries up to 14 months ahead; those without a code vanish."""
-    ahead = F.substring("o_orderpriority", 1, 1).cast("int") - 1 + (
-        F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "P", 5).otherwise(10)
-    )
+    status = F.col("o_orderstatus")
+    by_status = F.when(status == "O", 0).when(status == "P", 5).otherwise(10)
+    ahead = F.substring("o_orderpriority", 1, 1).cast("int") - 1 + by_status
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         _day().alias("ds"),
@@ -131,7 +139,8 @@ def trading_day_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked(
     f"""with listed as (select ds, open from ({_SCHEDULE}) where listed),
-bounds as (select cast(min(o_orderdate) as date) as a, cast(max(o_orderdate) as date) as b from orders),
+bounds as (
+  select cast(min(o_orderdate) as date) as a, cast(max(o_orderdate) as date) as b from orders),
 every as (select cast(unnest(generate_series(a, b, interval 1 day)) as date) as day from bounds)
 select cast(day as varchar) as ds
 from every left join listed on ds = day
@@ -190,8 +199,6 @@ def roc_year_monthday(spark: SparkSession, sf_dir: str) -> DataFrame:
 from orders"""
 )
 def settlement_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from barweave.functions.expiry import monthly_settlement
-
     weekly = next_weekly_settlement(F.col("ds"))
     return _order_days(spark, sf_dir).select(
         "ds",

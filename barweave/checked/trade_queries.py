@@ -199,7 +199,8 @@ def distinct_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked("select distinct cast(cast(l_shipdate as date) as varchar) as ds from lineitem")
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("ds")).distinct()
+    shipped = F.col("l_shipdate").cast("date").alias("ds")
+    return table(spark, sf_dir, "lineitem").select(shipped).distinct()
 
 
 @checked(

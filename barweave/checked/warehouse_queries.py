@@ -75,7 +75,11 @@ select {nation} as derivative_id, {expire} as expire, {code} as expire_code,
        case when {balance} < 0 then 'P' when {balance} > 5000 then 'C' end as option_type
 from {table}"""
 _SUPPLIED = _DETAILS.format(
-    nation="s_nationkey", expire="cast(null as varchar)", code="'W'", balance="s_acctbal", table="supplier"
+    nation="s_nationkey",
+    expire="cast(null as varchar)",
+    code="'W'",
+    balance="s_acctbal",
+    table="supplier",
 )
 _BOUGHT = _DETAILS.format(
     nation="c_nationkey",
@@ -255,10 +259,11 @@ order by datetime"""
 )
 def candles_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarter-hour candles of the front month over three years of orders."""
+    keys = FUTURES.staging_keys
     staged = _staged(spark, sf_dir, [15])
     derivative, detail = _dimensions(spark, staged)
-    contracts = broadcast_if_small(contract_ids(derivative, detail, "Futures", FUTURES.staging_keys))
-    history = detail_facts(staged, contracts, FUTURES.staging_keys)
+    contracts = broadcast_if_small(contract_ids(derivative, detail, "Futures", keys))
+    history = detail_facts(staged, contracts, keys)
     return contract_candles(derivative, detail, history, "TX", "M", 15, *_RANGE)
 
 
@@ -322,7 +327,7 @@ def dq_gate_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_flags(_holed(spark, sf_dir), columns, by=("o_orderstatus",))
 
 
-_BAR_COLUMNS = ("contract", "scale", "datetime", "price_open", "price_close", "price_mean", "volume")
+_BAR_COLUMNS = tuple(name for name in FUTURES.required if not name.startswith("expire"))
 
 
 @checked(

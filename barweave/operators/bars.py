@@ -75,8 +75,9 @@ def minute_states(
     bound = 1 << (LOW_BITS + RUN_BITS - 1)
     error = f"column {seq} must be a number within +-2**{bound.bit_length() - 1}"
     carried = [*keys, *([volume] if volume is not None else []), *first_tick]
+    wanted = {name: f"_at_{name}" if name in first_tick else name for name in carried}
     timed = ticks.where(F.col(ts).isNotNull()).select(
-        *(F.col(name).alias(f"_at_{name}") if name in first_tick else F.col(name) for name in carried),
+        *(F.col(name).alias(new) for name, new in wanted.items()),
         instant_micros(F.col(ts)).alias("_us"),
         F.expr(
             f"case when `{seq}` between {-bound} and {bound - 1} then cast(`{seq}` as bigint)"
@@ -84,9 +85,8 @@ def minute_states(
         ),
         F.col(price).cast(PRICE).alias("_price"),
     )
-    carried = [f"_at_{name}" if name in first_tick else name for name in carried]
     rows = timed.select(
-        *carried,
+        *wanted.values(),
         "_price",
         F.expr("cast(_price * 100 as bigint) as _cents"),
         bar_end_micros(F.col("_us"), 1).alias("_minute"),

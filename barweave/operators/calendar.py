@@ -13,8 +13,8 @@ SATURDAY = 5  # weekday(), Monday is 0
 
 def days_between(spark: SparkSession, first: str, last: str) -> DataFrame:
     """Every day of a closed range, as ``ds``."""
-    bounds = spark.range(1).select(F.lit(first).cast("date").alias("a"), F.lit(last).cast("date").alias("b"))
-    return bounds.select(F.explode(F.sequence("a", "b")).alias("ds"))
+    bounds = (F.lit(day).cast("date") for day in (first, last))
+    return spark.range(1).select(F.explode(F.sequence(*bounds)).alias("ds"))
 
 
 def holiday_list(schedule: DataFrame) -> DataFrame:

@@ -7,10 +7,11 @@ again gives the same tables.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +37,8 @@ def open_days(spark: SparkSession, layout: Layout, first: str, last: str) -> lis
     """
     holidays = holiday_list(read_holidays(spark, layout.holidays))
     found = trading_days(days_between(spark, first, last), holidays)
-    return [row.day for row in found.select(day_label(F.col("ds")).alias("day")).sort("day").collect()]
+    labels = found.select(day_label(F.col("ds")).alias("day")).sort("day")
+    return [row.day for row in labels.collect()]
 
 
 def ingest(
@@ -57,12 +59,12 @@ def staged_bars(ticks: DataFrame, subject: Subject, scales: Sequence[int] = SCAL
     if subject.label_expiry:
         made = label_expiry(made)
     made = made.withColumn("subject", F.lit(subject.name))
-    return made.select(
-        *(
-            (F.col(f.name) if f.name in made.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in BARS
-        )
-    )
+
+    def column(field: T.StructField) -> Column:
+        found = F.col(field.name) if field.name in made.columns else F.lit(None)
+        return found.cast(field.dataType).alias(field.name)
+
+    return made.select(*map(column, BARS))
 
 
 def aggregate(spark: SparkSession, layout: Layout, subject: str, first: str, last: str) -> None:
@@ -88,9 +90,7 @@ def load(spark: SparkSession, layout: Layout, subject: str, days: Sequence[str])
     return [day for day in days if day not in good]
 
 
-def _date(day: str):
-    import datetime
-
+def _date(day: str) -> datetime.date:
     return datetime.datetime.strptime(day, "%Y_%m_%d").date()
 
 

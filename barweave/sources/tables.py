@@ -71,8 +71,9 @@ def conform(df: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -
     def guarded(field: T.StructField) -> Column:
         if field.nullable:
             return F.col(field.name)
+        value = F.col(field.name)
         error = F.raise_error(F.lit(f"null in column {field.name}"))
-        return F.when(F.col(field.name).isNull(), error).otherwise(F.col(field.name)).alias(field.name)
+        return F.when(value.isNull(), error).otherwise(value).alias(field.name)
 
     shape = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
     return df.select(*(guarded(field) for field in schema)).to(shape)
