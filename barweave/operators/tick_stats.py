@@ -41,7 +41,7 @@ def tick_bar_stats(
     The statistics are brought to one row per (keys, minute) holding all scales, and the
     ticks meet them there: the ticks cross the network once, not once per scale, and a
     hot minute is a skewed join partition that adaptive execution can split. The minutes
-    are the one-minute bars, so the ticks are read for the states and for the join only.
+    are the one-minute bars: a second pass over keys and times only.
     """
     values = (*STATS, "volume")
     per_bar = bars(ticks, keys, sorted({1, *scales}))
