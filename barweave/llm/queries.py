@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barweave.llm.common import literal_rows, table
 from barweave.llm.mixing import measure, mix
+from barweave.llm.near_join import near_classes
 from barweave.llm.quality import judge_quality
 from barweave.llm.sharding import assign_shards, fill_table
 from barweave.llm.url_filter import RULE_COLUMNS, judge_urls
@@ -209,3 +210,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "target",
         (F.col("size") * F.size("copies")).alias("taken"),
     )
+
+
+# --- 6: n-gram Jaccard join ------------------------------------------------------------
+
+
+@registered()
+def op6_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of near copies that it is in."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_classes(docs).select("doc_id", "n_shingles", "component_id", "n_links")
