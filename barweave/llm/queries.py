@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barweave.llm.common import literal_rows, table
+from barweave.llm.decontamination import decontaminate
 from barweave.llm.mixing import measure, mix
 from barweave.llm.near_join import near_classes
 from barweave.llm.quality import judge_quality
@@ -220,3 +221,21 @@ def op6_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of near copies that it is in."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_classes(docs).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+# --- 7: benchmark decontamination ------------------------------------------------------
+
+
+@registered()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words inside benchmark windows and the items they are from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
