@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +63,21 @@ def ordinal_bits(*parts: Column) -> Column:
     """A 60-bit pseudo-random number that depends on the parts only."""
     digest = F.md5(F.concat_ws(":", *(p.cast("string") for p in parts)))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Have the shuffle files of actions in here removed when each action is over.
+
+    For steps whose result is written as a table: nothing reads the shuffle again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

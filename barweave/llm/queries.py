@@ -13,6 +13,7 @@ from barweave.llm.mixing import measure, mix
 from barweave.llm.near_join import near_classes
 from barweave.llm.quality import judge_quality
 from barweave.llm.sharding import assign_shards, fill_table
+from barweave.llm.token_files import round_trip
 from barweave.llm.url_filter import RULE_COLUMNS, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,3 +240,20 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+# --- 9: token ids ----------------------------------------------------------------------
+
+
+def vocabulary_file() -> str:
+    """Path of the public vocabulary that the queries encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@registered()
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the token files, as read back from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return round_trip(docs, vocabulary_file()).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -54,7 +54,9 @@ _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 class Words:
     """The words of some texts: byte ranges in ``buffer``, hashes, and each text's share."""
 
-    def __init__(self, texts: list[bytes | None], ends: np.ndarray):
+    def __init__(self, texts: list[bytes | None], ends: np.ndarray, detached: bytes = b""):
+        """``ends`` are the bytes between words. A byte of ``detached`` that ends a word of
+        a digit or an ASCII letter before it is a word of its own."""
         lowered = [(t or b"").lower() for t in texts]
         self.buffer = b"\n".join(lowered) + b"\n"
         data = np.frombuffer(self.buffer, dtype=np.uint8)
@@ -64,10 +66,26 @@ class Words:
         inside = ~ends[data]
         edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0))
         self.starts, self.stops = edge[0::2], edge[1::2]
+        if detached:
+            self._detach(data, detached)
         #: Words of text i are first[i] to first[i + 1].
         self.first = np.searchsorted(self.starts, self.text_starts)
         self.hashes = self._hash(data)
 
+    def _detach(self, data: np.ndarray, detached: bytes) -> None:
+        last = np.zeros(256, dtype=bool)
+        last[list(detached)] = True
+        cut = np.flatnonzero(
+            last[data[self.stops - 1]]
+            & (self.stops - self.starts > 1)
+            & ~NOT_ALNUM[data[self.stops - 2]]
+            & (data[self.stops - 2] < 128)
+        )
+        ends = self.stops[cut]
+        self.stops[cut] -= 1
+        self.starts = np.insert(self.starts, cut + 1, ends - 1)
+        self.stops = np.insert(self.stops, cut + 1, ends)
+
     def _hash(self, data: np.ndarray) -> np.ndarray:
         n = len(data)
         powers = _powers(n, BASE)
