@@ -14,6 +14,7 @@ from barweave.llm.near_join import near_classes
 from barweave.llm.quality import judge_quality
 from barweave.llm.sharding import assign_shards, fill_table
 from barweave.llm.token_files import round_trip
+from barweave.llm.toxicity import score_toxicity, train
 from barweave.llm.url_filter import RULE_COLUMNS, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -257,3 +258,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the token files, as read back from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return round_trip(docs, vocabulary_file()).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+# --- 10: toxicity ----------------------------------------------------------------------
+
+
+@registered()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a score learnt from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
