@@ -81,3 +81,30 @@ def shuffles_dropped(spark: SparkSession):
             spark.conf.unset(name)
         else:
             spark.conf.set(name, before)
+
+
+def runs_of(text: str, pattern: str) -> Column:
+    """Array of ``start`` and ``stop`` of all matches in a text column, in code points."""
+    pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    ends = F.zip_with(
+        pieces, matches, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("run"))
+    )
+    spans = "array<struct<start:bigint,stop:bigint>>"
+    walked = F.aggregate(
+        F.filter(ends, lambda e: e["run"].isNotNull()),
+        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(spans).alias("spans")),
+        lambda done, e: F.struct(
+            (done["at"] + e["gap"] + e["run"]).cast("bigint").alias("at"),
+            F.concat(
+                done["spans"],
+                F.array(
+                    F.struct(
+                        (done["at"] + e["gap"]).cast("bigint").alias("start"),
+                        (done["at"] + e["gap"] + e["run"]).cast("bigint").alias("stop"),
+                    )
+                ),
+            ).alias("spans"),
+        ),
+        lambda done: done["spans"],
+    )
+    return F.coalesce(walked, F.array().cast(spans))

@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barweave.llm.common import literal_rows, table
+from barweave.llm.common import literal_rows, runs_of, table
 from barweave.llm.decontamination import decontaminate
 from barweave.llm.mixing import measure, mix
 from barweave.llm.near_join import near_classes
+from barweave.llm.personal_data import (
+    BASE,
+    count_of,
+    find_personal_data,
+    learn,
+    spans_text,
+)
 from barweave.llm.quality import judge_quality
 from barweave.llm.sharding import assign_shards, fill_table
+from barweave.llm.token_counts import apply_edits, build_trees
 from barweave.llm.token_files import round_trip
 from barweave.llm.toxicity import score_toxicity, train
 from barweave.llm.url_filter import RULE_COLUMNS, judge_urls
@@ -269,3 +277,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+# --- 3: personal data ------------------------------------------------------------------
+
+
+@registered()
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with counts and places of the personal data in it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_personal_data(docs, learn(docs))
+    counts = [count_of(F.col("base_spans"), kind).alias(f"n_{kind}") for kind in BASE]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(spans_text(F.col("base_spans")), 256).alias("base_sha256"),
+        spans_text(F.col("all_spans")).alias("spans"),
+    )
+
+
+# --- 2: token counts -------------------------------------------------------------------
+
+
+@registered()
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, before and after each run of digits in it becomes one zero."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = build_trees(docs, vocabulary_file()).withColumnRenamed("n_tokens", "n_before")
+    edits = F.transform(
+        runs_of("text", "[0-9]+"),
+        lambda run: F.struct(run["start"], run["stop"], F.lit("0").alias("replacement")),
+    )
+    done = apply_edits(trees.withColumn("edits", edits), vocabulary_file())
+    return done.select("doc_id", "n_before", "n_edits", "n_recoded", F.col("n_tokens").alias("n_after"))

@@ -28,7 +28,7 @@ LEAST_RATIO = 1.0
 SMOOTHING = 1.0
 ROUNDS = 200
 RATE = 0.05
-PENALTY = 1e-4
+PENALTY = 30.0  # over the number of texts learnt from
 
 
 def held_out(doc_id: Column) -> Column:
@@ -101,7 +101,7 @@ class Model:
         for step in range(1, ROUNDS + 1):
             logit = np.bincount(row, value * w[column], n) + b
             error = 1 / (1 + np.exp(-np.clip(logit, -40, 40))) - toxic
-            slope = np.bincount(column, value * error[row], len(chosen)) / n + PENALTY * w
+            slope = np.bincount(column, value * error[row], len(chosen)) / n + PENALTY / n * w
             slope = np.append(slope, error.mean())
             first = 0.9 * first + 0.1 * slope
             second = 0.999 * second + 0.001 * slope**2
