@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barweave.llm.common import Packed
+from barweave.llm.common import Packed, shuffles_dropped
 from barweave.llm.components import components
 from barweave.session import materialize
 
@@ -477,11 +477,14 @@ def near_classes(
         .groupBy("node")
         .agg(F.count("*").alias("copies"), F.min(packed[doc_id]).alias("least_id"))
     )
-    weights = materialize(weights)
-    cells = _cells(texts, percent)
-    points = _points(texts, cells, weights.select("node", "copies"))
-    settled = materialize(_settled(points, percent))
-    labels = components(settled.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
+    # Every step writes a table, so its shuffle files are of no more use.
+    with shuffles_dropped(docs.sparkSession):
+        weights = materialize(weights)
+        cells = _cells(texts, percent)
+        points = _points(texts, cells, weights.select("node", "copies"))
+        settled = _settled(points, percent)
+        reached = settled.where("node <> least")
+        labels = components(reached.select(F.col("node").alias("a"), F.col("least").alias("b")))
     counts = settled.groupBy("node").agg(F.sum("links").alias("links"))
     known = (
         weights.join(labels, "node", "left")
@@ -503,3 +506,32 @@ def near_classes(
         F.when(has_set, F.col("links")).otherwise(F.lit(0)).cast("bigint").alias("n_links"),
         "node",
     )
+
+
+def keep_one(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT
+) -> DataFrame:
+    """One row of each component, that of the least id; rows without 4-grams stay, all.
+
+    Where rows of that id repeat, one of them stays. A component whose ids are all null
+    keeps one row. The columns are those of ``docs``.
+    """
+    classes = near_classes(docs.select(doc_id, text), text, doc_id, percent)
+    own = F.col(doc_id)
+    chosen = (
+        classes.where(F.col("n_shingles") > 0)
+        .where(own.eqNullSafe(F.col("component_id")))
+        .groupBy(F.col("component_id"), F.when(own.isNull(), F.col("node")).alias("lone"))
+        .agg(F.min("node").alias("_node"))
+        .select(F.col("component_id").alias("_id"), "_node")
+    )
+    packed = Packed(docs)
+    keyed = add_nodes(packed.rows, f"in_{packed.names.index(text)}")
+    blank = keyed.where("n_shingles = 0").select(*packed.back())
+    first = Window.partitionBy("_node", "_id").orderBy(packed[text])
+    kept = (
+        keyed.join(chosen, (F.col("node") == F.col("_node")) & packed[doc_id].eqNullSafe(F.col("_id")))
+        .withColumn("_nth", F.row_number().over(first))
+        .where("_nth = 1")
+    )
+    return kept.select(*packed.back()).unionByName(blank)

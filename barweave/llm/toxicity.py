@@ -28,7 +28,7 @@ LEAST_RATIO = 1.0
 SMOOTHING = 1.0
 ROUNDS = 200
 RATE = 0.05
-PENALTY = 30.0  # over the number of texts learnt from
+PENALTY = 3.0  # over the number of texts learnt from
 
 
 def held_out(doc_id: Column) -> Column:
