@@ -23,6 +23,7 @@ WINDOW = 8  # words of a repeated passage
 SYMBOLS = "#*$%&|<>"
 FEWEST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def add_counts(rows: DataFrame, text: Column) -> DataFrame:
@@ -56,9 +57,11 @@ def add_counts(rows: DataFrame, text: Column) -> DataFrame:
     repeats = F.size(F.array_distinct("_hash")) < F.size("_hash")
     step = step.withColumn("_sorted", F.when(repeats, _sorted_windows("_hash"))).drop("_hash")
     step = step.withColumn("_at", _repeated_places("_sorted")).drop("_sorted")
-    return step.withColumn(
-        "n_repeat_words", F.coalesce(_covered("_at"), F.lit(0).cast("bigint"))
-    ).drop("_at")
+    step = step.withColumn("n_repeat_words", F.coalesce(_covered("_at"), F.lit(0).cast("bigint")))
+    # Through a generator no filter on the counts is pushed: it would make them again.
+    fixed = step.withColumn("_counts", F.struct(*COUNTS)).drop("_at", *COUNTS)
+    rest = [c for c in fixed.columns if c != "_counts"]
+    return fixed.select(*rest, F.inline(F.array("_counts")))
 
 
 def _sorted_windows(windows: str) -> Column:
@@ -128,7 +131,7 @@ def judge_quality(
     added one are replaced.
     """
     made = (
-        *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
+        *COUNTS,
         *("base_failed", "n_removed_words", "clean_text", "kept"),
     )
     packed = Packed(docs)
