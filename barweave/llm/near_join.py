@@ -287,7 +287,8 @@ def _split(points: DataFrame, sizes: DataFrame, percent: int, level: int) -> Dat
     pivots = (
         points.select("region", "node", "grams", "points", F.row_number().over(ranked).alias("n"))
         .where(F.col("n") <= PIVOTS)
-        .select("region", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "node", "grams")
+        .select("region", F.explode(F.sequence(F.lit(0), chunks - 1)), "node", "grams")
+        .toDF("of", "part", "centre", "centre_grams")
     )
     dealt = points.select(
         *("region", "mask", "node", "copies", "grams"),
@@ -301,7 +302,7 @@ def _split(points: DataFrame, sizes: DataFrame, percent: int, level: int) -> Dat
 
         if not len(members) or not len(centres):
             return pd.DataFrame({n: [] for n in ("region", "mask", "node", "copies", "grams", "child", "home")})
-        centre_sets = [np.frombuffer(g, dtype=np.uint64) for g in centres.sort_values("node")["grams"]]
+        centre_sets = [np.frombuffer(g, dtype=np.uint64) for g in centres.sort_values("centre")["centre_grams"]]
         out = []
         for row in members.itertuples(index=False):
             own = np.frombuffer(row.grams, dtype=np.uint64)
@@ -318,15 +319,15 @@ def _split(points: DataFrame, sizes: DataFrame, percent: int, level: int) -> Dat
 
     measured = materialize(
         dealt.groupBy("region", "chunk")
-        .cogroup(pivots.groupBy("region", "chunk"))
+        .cogroup(pivots.groupBy("of", "part"))
         .applyInPandas(measure, f"{POINT}, child int, home boolean")
     )
     children = measured.groupBy("region", "child").agg(F.count("*").alias("n"))
     worth = (
         children.groupBy("region")
         .agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-        .join(sizes.select("region", "points"), "region")
-        .select("region", "points", (F.col("most") <= 0.7 * F.col("points")).alias("apart"))
+        .join(sizes, "region")
+        .select("region", "points", "grams_in", (F.col("most") <= 0.7 * F.col("points")).alias("apart"))
     )
     judged = measured.join(worth, "region")
     bit = F.lit(1 << (level % 60)).cast("bigint")
@@ -339,7 +340,12 @@ def _split(points: DataFrame, sizes: DataFrame, percent: int, level: int) -> Dat
     )
     # Blocks: every point with its own and each other block; in a region of two blocks only
     # pairs across count, which bit 61 (first block) and bit 62 (second) say.
-    blocks = F.ceil(F.col("points") * 2 / REGION_POINTS).cast("int")
+    needed = F.greatest(
+        F.lit(2),
+        F.ceil(F.col("points") * 2 / REGION_POINTS),
+        F.ceil(F.col("grams_in") * 2 / REGION_GRAMS),
+    )
+    blocks = F.least(F.col("points"), needed).cast("int")
     own = F.pmod(F.xxhash64(F.lit(level + 2000), "node"), F.col("blocks")).cast("int")
     cross = (
         judged.where("not apart and home")
