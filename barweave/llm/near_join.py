@@ -6,9 +6,12 @@ link within ``1 - 0.85``. Equal sets are one point with a multiplicity. Then:
 1. *Cells.* Most pairs of texts are at distance one, where pivots tell nothing. So points
    are first put in cells such that no link leaves a cell. The 4-grams are dealt by hash into
    more parts than two linked sets can differ in (the number follows from the size class), so
-   linked sets have whole parts in common; each part's hash is a posting. All points of a
-   posting are tied to its least point, a star and not all pairs, and the connected
-   components of the stars are the cells. Points that share no part with any are done.
+   linked sets have whole parts in common; each part's hash is a posting. Two points of a
+   posting are tied if the triangle inequality leaves room for a link: the counts of a set's
+   4-grams in 64 ranges of the hash are its distances from the empty set in each range, and
+   their differences add up to no more than the sets differ. Of the ties of a posting a
+   spanning forest is kept, and its connected components are the cells. (A posting of over
+   4,096 points is tied to its first as a star, which only makes cells larger.)
 2. *Regions.* A cell with many points is split around pivots: every point's distance to the
    pivots of its cell is measured, it is at home in the Voronoi region of the nearest, and
    it is a guest where the triangle inequality leaves room for a link: where its distance
@@ -35,8 +38,10 @@ from barweave.session import materialize
 
 SHINGLE = 4
 PERCENT = 85
-REGION_POINTS = 512
-REGION_GRAMS = 1 << 19
+REGION_POINTS = 1024
+REGION_GRAMS = 1 << 20
+RANGES = 64
+TIED_POINTS = 4096
 PIVOTS = 8
 BLOOM_BITS = 26
 KEPT_NODES = 200_000  # recent sets a task remembers, so as not to repeat their postings
@@ -124,7 +129,7 @@ def postings_of(grams, node: int, percent: int):
 
 
 def add_nodes(rows: DataFrame, text: str) -> DataFrame:
-    """The rows with ``node``, the hash of the 4-gram set, and ``n_shingles``.
+    """The rows with ``node``, the hash of the 4-gram set, ``n_shingles`` and ``ranges``.
 
     The text may be any column; the others pass through as they are.
     """
@@ -132,7 +137,12 @@ def add_nodes(rows: DataFrame, text: str) -> DataFrame:
 
     at = rows.columns.index(text)
     schema = T.StructType(
-        [*rows.schema.fields, T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType())]
+        [
+            *rows.schema.fields,
+            T.StructField("node", T.LongType()),
+            T.StructField("n_shingles", T.LongType()),
+            T.StructField("ranges", T.BinaryType()),
+        ]
     )
 
     def hashed(batches):
@@ -142,17 +152,20 @@ def add_nodes(rows: DataFrame, text: str) -> DataFrame:
         from barweave.llm.wordhash import slices, text_bytes
 
         for batch in slices(batches, at):
-            nodes, sizes = [], []
+            nodes, sizes, ranges = [], [], []
             for grams in _distinct_grams(text_bytes(batch.column(at))):
                 nodes.append(_set_hashes(grams))
                 sizes.append(len(grams))
+                held = np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=RANGES)
+                ranges.append(np.minimum(held, 255).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
                     pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)),
                     pa.array(sizes, pa.int64()),
+                    pa.array(ranges, pa.binary()),
                 ],
-                [*batch.schema.names, "node", "n_shingles"],
+                [*batch.schema.names, "node", "n_shingles", "ranges"],
             )
 
     return rows.mapInArrow(hashed, schema)
@@ -194,8 +207,8 @@ def _fold(texts: DataFrame, make, schema: str) -> DataFrame:
     return texts.mapInArrow(folded, schema)
 
 
-def _cells(texts: DataFrame, percent: int) -> DataFrame:
-    """``node`` and ``cell`` of all points that share a part with another."""
+def _cells(texts: DataFrame, ranges: DataFrame, percent: int) -> DataFrame:
+    """``node`` and ``cell`` of all points that are tied to another."""
 
     def make(node, grams):
         import numpy as np
@@ -204,16 +217,76 @@ def _cells(texts: DataFrame, percent: int) -> DataFrame:
         return keys.view(np.int64), np.full(len(keys), node, dtype=np.int64)
 
     posted = _fold(texts, make, "part bigint, node bigint")
-    first = Window.partitionBy("part").orderBy("node").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    together = Window.partitionBy("part")
+    shared = materialize(
+        posted.select(
+            "*", F.min("node").over(together).alias("low"), F.max("node").over(together).alias("high")
+        )
+        .where("low <> high")
+        .select("part", "node")
     )
-    stars = (
-        posted.withColumn("pivot", F.first("node").over(first))
-        .where("node <> pivot")
-        .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        .distinct()
+    dealt = shared.join(ranges, "node").repartition("part").sortWithinPartitions("part", "node")
+    ties = dealt.select("part", "node", "size", "ranges").mapInArrow(
+        _tie(percent), "a bigint, b bigint"
     )
-    return components(stars).withColumnRenamed("label", "cell")
+    return components(ties).withColumnRenamed("label", "cell")
+
+
+def _tie(percent: int):
+    """Spanning edges of the ties in each posting; rows come by posting and node."""
+
+    def tied(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def settle(nodes, sizes, ranges):
+            sizes = np.array(sizes, dtype=np.int64)
+            held = np.frombuffer(b"".join(ranges), dtype=np.uint8).reshape(len(nodes), -1)
+            held = held.astype(np.int16)
+            edges, free = [], list(range(len(nodes)))
+            # Breadth first: every point is compared with the points not reached yet.
+            while free:
+                frontier = [free.pop()]
+                while frontier and free:
+                    at = frontier.pop()
+                    rest = np.array(free)
+                    apart = np.abs(held[rest] - held[at]).sum(axis=1, dtype=np.int64)
+                    near = (100 + percent) * apart <= (100 - percent) * (sizes[rest] + sizes[at])
+                    reached = rest[near].tolist()
+                    edges += [(nodes[r], nodes[at]) for r in reached]
+                    frontier += reached
+                    free = rest[~near].tolist()
+            return edges
+
+        def flush(edges):
+            columns = zip(*set(edges)) if edges else ((), ())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["a", "b"]
+            )
+
+        part, points, star, edges = None, {}, None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[0] != part:
+                    if len(points) > 1:
+                        edges += settle(list(points), *zip(*points.values()))
+                    part, points, star = row[0], {}, None
+                if star is not None:
+                    edges.append((row[1], star))
+                else:
+                    points[row[1]] = row[2:]
+                    if len(points) > TIED_POINTS:
+                        star = next(iter(points))
+                        edges += [(node, star) for node in points]
+                        points = {}
+                if len(edges) > 100_000:
+                    yield flush(edges)
+                    edges = []
+        if len(points) > 1:
+            edges += settle(list(points), *zip(*points.values()))
+        yield flush(edges)
+
+    return tied
 
 
 def _bloom(nodes: DataFrame) -> bytes:
@@ -481,12 +554,17 @@ def near_classes(
     weights = (
         rows.where("n_shingles > 0")
         .groupBy("node")
-        .agg(F.count("*").alias("copies"), F.min(packed[doc_id]).alias("least_id"))
+        .agg(
+            F.count("*").alias("copies"),
+            F.min(packed[doc_id]).alias("least_id"),
+            F.first("n_shingles").alias("size"),
+            F.first("ranges").alias("ranges"),
+        )
     )
     # Every step writes a table, so its shuffle files are of no more use.
     with shuffles_dropped(docs.sparkSession):
         weights = materialize(weights)
-        cells = _cells(texts, percent)
+        cells = _cells(texts, weights.select("node", "size", "ranges"), percent)
         points = _points(texts, cells, weights.select("node", "copies"))
         settled = _settled(points, percent)
         reached = settled.where("node <> least")
