@@ -19,7 +19,6 @@ from barweave.operators.candles import contract_candles, index_candles
 from barweave.operators.keys import new_dimension_rows
 from barweave.operators.labels import label_expiry
 from barweave.operators.lookups import (
-    broadcast_if_small,
     contract_ids,
     detail_facts,
     with_single_id,
@@ -242,7 +241,7 @@ def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = _staged(spark, sf_dir)
     derivative, detail = _dimensions(spark, staged)
     keys = FUTURES.staging_keys
-    contracts = broadcast_if_small(contract_ids(derivative, detail, "Futures", keys))
+    contracts = contract_ids(derivative, detail, "Futures", keys)
     return detail_facts(staged, contracts, keys)
 
 
@@ -262,12 +261,12 @@ def candles_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = FUTURES.staging_keys
     staged = _staged(spark, sf_dir, [15])
     derivative, detail = _dimensions(spark, staged)
-    contracts = broadcast_if_small(contract_ids(derivative, detail, "Futures", keys))
+    contracts = contract_ids(derivative, detail, "Futures", keys)
     history = detail_facts(staged, contracts, keys)
     return contract_candles(derivative, detail, history, "TX", "M", 15, *_RANGE)
 
 
-_MONTH = ("2024-01-01", "2024-01-31")
+_MONTH = ("2024-01-05 00:05:00", "2024-01-20 12:00:00")
 
 
 @checked(

@@ -192,5 +192,5 @@ def sample_deviation(n: Column, cents: Column, squares: Column) -> Column:
     """
     wide = "decimal(38,0)"
     spread = n.cast("decimal(12,0)") * squares - cents.cast(wide) * cents.cast(wide)
-    pairs = (n * (n - 1)).cast("double")
+    pairs = n.cast("double") * (n - 1).cast("double")
     return F.when(n > 1, F.sqrt(spread.cast("double") / pairs) / 100)

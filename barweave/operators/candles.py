@@ -17,15 +17,11 @@ def _candle_columns() -> list[Column]:
 def in_range(history: DataFrame, scale: int, start: str, end: str) -> DataFrame:
     """Rows of one scale with ``start <= datetime <= end``.
 
-    A bar is never later than the night of its trading day, so days before ``start`` are
-    pruned as partitions where the table has them; row groups do the rest.
+    Rows are sorted by scale and time inside their files, so row groups prune both.
     """
-    rows = history.where(
+    return history.where(
         (F.col("scale") == scale) & F.col("datetime").between(_instant(start), _instant(end))
     )
-    if "ds" in history.columns:
-        rows = rows.where(F.col("ds") >= F.date_sub(F.lit(start).cast("date"), 1))
-    return rows
 
 
 def _instant(text: str) -> Column:

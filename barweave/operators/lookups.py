@@ -6,30 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 << 20
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Broadcast hint only after the rows were counted and weighed.
-
-    A larger side comes back as it is and is joined by shuffle, where adaptive execution
-    splits skewed partitions. Meant for tables at rest; the check reads ``df`` once.
-    """
-    size = F.lit(0).cast("bigint")
-    for field in df.schema.fields:
-        is_text = isinstance(field.dataType, (T.StringType, T.BinaryType))
-        width = F.coalesce(F.octet_length(field.name), F.lit(0)) if is_text else F.lit(0)
-        size = size + width + 16
-    weighed = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
-    found = weighed.first()
-    if found["n"] > max_rows or (found["bytes"] or 0) > max_bytes:
-        return df
-    return F.broadcast(df)
 
 
 def only_value(dimension: DataFrame, column: str, /, **equals: str) -> Column:

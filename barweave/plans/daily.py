@@ -25,7 +25,7 @@ from barweave.plans.layout import Layout
 from barweave.plans.warehouse import load_subject
 from barweave.schemas import BARS, SCALES, SUBJECTS, TICKS, Subject
 from barweave.sources.landed import RAW_READERS, read_holidays
-from barweave.sources.tables import conform, read_days, write_partitions
+from barweave.sources.tables import conform, drop_days, read_days, write_partitions
 
 DAY_PARTITIONS = ("subject", "ds")
 
@@ -94,6 +94,13 @@ def _date(day: str) -> datetime.date:
     return datetime.datetime.strptime(day, "%Y_%m_%d").date()
 
 
+def clear(spark: SparkSession, layout: Layout, subject: str, days: Sequence[str]) -> None:
+    """Remove ticks, bars and facts of the days a run is about to make anew."""
+    history = "index_history" if subject == "index" else "derivative_detail_history"
+    for path in (layout.ticks, layout.bars, layout.warehouse(history)):
+        drop_days(spark, path, subject, days)
+
+
 def run_days(
     spark: SparkSession,
     layout: Layout,
@@ -101,24 +108,34 @@ def run_days(
     last: str,
     subjects: Sequence[str] = tuple(SUBJECTS),
     charset: str = "utf-8",
+    only: Sequence[str] | None = None,
 ) -> list[str]:
-    """Run all trading days of a range; returns them.
+    """Run all trading days of a range, or those of ``only``; returns them.
 
-    Subjects do not hold each other up: what passes the gate is loaded, then the rest is
-    raised as one error.
+    Subjects do not hold each other up: what can be read and passes the gate is loaded,
+    then everything else is raised as one error that names subjects, days and causes. Rows
+    of earlier runs do not stay for a day that failed.
     """
     days = open_days(spark, layout, first, last)
+    if only is not None:
+        days = [day for day in days if day in set(only)]
     if not days:
         return []
-    failed = {}
+    failed: dict[str, object] = {}
+    cause = None
     for subject in subjects:
-        ingest(spark, layout, subject, days, charset)
-        aggregate(spark, layout, subject, first, last)
-        left_out = load(spark, layout, subject, days)
-        if left_out:
-            failed[subject] = left_out
+        try:
+            clear(spark, layout, subject, days)
+            ingest(spark, layout, subject, days, charset)
+            aggregate(spark, layout, subject, *(days[i].replace("_", "-") for i in (0, -1)))
+            left_out = load(spark, layout, subject, days)
+            if left_out:
+                failed[subject] = left_out
+        except Exception as error:  # any cause: the other subjects still run
+            cause = cause or error
+            failed[subject] = str(error).split("\n")[0]
     if failed:
-        raise DataQualityError(f"not loaded: {failed}")
+        raise DataQualityError(f"not loaded: {failed}") from cause
     return days
 
 

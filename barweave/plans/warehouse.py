@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from barweave.operators.candles import contract_candles, index_candles
 from barweave.operators.keys import new_dimension_rows
 from barweave.operators.lookups import (
-    broadcast_if_small,
     contract_ids,
     detail_facts,
     with_single_id,
@@ -43,7 +42,7 @@ TABLES = {
     "derivative_detail": DETAIL_DIM,
     "derivative_detail_history": DETAIL_HISTORY,
 }
-FACT_PARTITIONS = ("scale", "subject", "ds")
+FACT_PARTITIONS = ("subject", "ds")
 
 
 def warehouse_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
@@ -102,9 +101,7 @@ def load_derivatives(
 
     keys = subject.staging_keys
     detail = warehouse_table(spark, layout, "derivative_detail")
-    contracts = broadcast_if_small(
-        contract_ids(derivative, detail, subject.derivative_type, keys)
-    )
+    contracts = contract_ids(derivative, detail, subject.derivative_type, keys)
     facts = detail_facts(staged, contracts, keys)
     _write_facts(
         facts, layout, "derivative_detail_history", DETAIL_HISTORY, "derivative_detail_id"
@@ -130,7 +127,7 @@ def _write_facts(
     facts: DataFrame, layout: Layout, name: str, schema: T.StructType, key: str
 ) -> None:
     rows = conform(facts, schema)
-    write_partitions(rows, layout.warehouse(name), FACT_PARTITIONS, ("datetime", key))
+    write_partitions(rows, layout.warehouse(name), FACT_PARTITIONS, ("scale", "datetime", key))
 
 
 def candles_of_index(

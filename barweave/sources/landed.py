@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,6 @@ from barweave.schemas import (
 LINES = "source_file string, member string, row_no bigint, line_no bigint, line string"
 BATCH_LINES = 20_000
 ROW_BITS = 34
-NAME_BITS = 18
 
 
 def day_glob(days: Sequence[str] | None) -> str:
@@ -45,8 +44,11 @@ def read_lines(
     glob: str = "*",
     charset: str = "utf-8",
     line_end: str | None = "\r\n",
+    zipped: bool = False,
 ) -> DataFrame:
-    """Lines of text files and of every member of zip archives.
+    """Lines of text files or, if ``zipped``, of every member of zip archives.
+
+    An archive that can't be read is an error, as is one that was cut short.
 
     ``line_no`` counts in a member, ``row_no`` in a whole file, both from 0. Members are
     decoded as streams, so memory is bounded by the compressed file and one batch.
@@ -62,7 +64,7 @@ def read_lines(
         names = ["source_file", "member", "row_no", "line_no", "line"]
 
         def members(path, content):
-            if not zipfile.is_zipfile(io.BytesIO(content)):
+            if not zipped:
                 yield path, io.BytesIO(content)
                 return
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
@@ -112,13 +114,31 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def tick_order(path: Column, row_no: Column) -> Column:
-    """``seq`` of a record: outright before spread archives, then file name, then row."""
-    name = file_name(path)
-    is_spread = name.rlike(SPREAD_ARCHIVE_PATTERN).cast("bigint")
-    mark = F.crc32(name).bitwiseAND((1 << NAME_BITS) - 1)
-    file_no = F.shiftleft(is_spread, NAME_BITS).bitwiseOR(mark)
-    return F.shiftleft(file_no, ROW_BITS).bitwiseOR(row_no)
+def tick_order(file_no: Column, row_no: Column) -> Column:
+    """``seq`` of a record: the number of its file among the day's, then its row."""
+    fits = row_no < (1 << ROW_BITS)
+    error = F.raise_error(F.lit(f"a file has 2**{ROW_BITS} rows or more"))
+    return F.shiftleft(file_no, ROW_BITS).bitwiseOR(F.when(fits, row_no).otherwise(error))
+
+
+def with_file_numbers(records: DataFrame, files: DataFrame) -> DataFrame:
+    """Records with ``ds`` and ``file_no``, their file's place among those of its day.
+
+    Outright archives come before spread ones, then by name. ``files`` has a row per file
+    (``source_file``); the numbering meets a day's names only.
+    """
+    name = file_name(F.col("source_file"))
+    order = Window.partitionBy("ds").orderBy(
+        name.rlike(SPREAD_ARCHIVE_PATTERN), name, F.col("source_file")
+    )
+    day = day_of_label(F.regexp_extract(name, ARCHIVE_DAY_PATTERN, 1))
+    numbered = (
+        files.select("source_file")
+        .distinct()
+        .withColumn("ds", day)
+        .withColumn("file_no", F.row_number().over(order).cast("bigint"))
+    )
+    return records.join(numbered, "source_file")
 
 
 def parse_csv(lines: DataFrame, schema: T.StructType, *extra: Column) -> DataFrame:
@@ -133,28 +153,42 @@ def parse_csv(lines: DataFrame, schema: T.StructType, *extra: Column) -> DataFra
 
 def _origin() -> list[Column]:
     """Columns every raw record carries besides its fields."""
-    source = F.col("source_file")
     return [
-        day_of_label(F.regexp_extract(file_name(source), ARCHIVE_DAY_PATTERN, 1)).alias("ds"),
-        tick_order(source, F.col("row_no")).alias("seq"),
-        source,
+        F.col("ds"),
+        tick_order(F.col("file_no"), F.col("row_no")).alias("seq"),
+        F.col("source_file"),
         F.col("line_no"),
     ]
 
 
+def _read_csv_lines(
+    spark: SparkSession,
+    path: str,
+    days: Sequence[str] | None,
+    charset: str,
+    schema: T.StructType,
+    head: int,
+    stop: int | None = None,
+    zipped: bool = False,
+) -> DataFrame:
+    glob = day_glob(days)
+    lines = skip_lines(read_lines(spark, path, glob, charset, zipped=zipped), head, stop)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    names = files.select(F.col("path").alias("source_file"))
+    return parse_csv(with_file_numbers(lines, names), schema, *_origin())
+
+
 def read_futures(
     spark: SparkSession, path: str, days: Sequence[str] | None = None, charset: str = "utf-8"
 ) -> DataFrame:
     """Outright and spread archives alike: both names contain the day."""
-    lines = skip_lines(read_lines(spark, path, day_glob(days), charset), 1)
-    return parse_csv(lines, FUTURES_RAW, *_origin())
+    return _read_csv_lines(spark, path, days, charset, FUTURES_RAW, 1, zipped=True)
 
 
 def read_options(
     spark: SparkSession, path: str, days: Sequence[str] | None = None, charset: str = "utf-8"
 ) -> DataFrame:
-    lines = skip_lines(read_lines(spark, path, day_glob(days), charset), 2)
-    return parse_csv(lines, OPTIONS_RAW, *_origin())
+    return _read_csv_lines(spark, path, days, charset, OPTIONS_RAW, 2, zipped=True)
 
 
 def read_index(
@@ -165,8 +199,7 @@ def read_index(
     stop: int | None = None,
 ) -> DataFrame:
     """Index values, of which the first two fields matter."""
-    lines = skip_lines(read_lines(spark, path, day_glob(days), charset), 2, stop)
-    return parse_csv(lines, INDEX_RAW, *_origin())
+    return _read_csv_lines(spark, path, days, charset, INDEX_RAW, 2, stop)
 
 
 def read_etf(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
@@ -180,7 +213,8 @@ def read_etf(spark: SparkSession, path: str, days: Sequence[str] | None = None)
     )
     ticks = documents.select("source_file", F.posexplode("data").alias("row_no", "tick"))
     ticks = ticks.withColumn("row_no", F.col("row_no").cast("bigint"))
-    return ticks.withColumn("line_no", F.col("row_no")).select("tick.*", *_origin())
+    ticks = with_file_numbers(ticks, documents).withColumn("line_no", F.col("row_no"))
+    return ticks.select("tick.*", *_origin())
 
 
 def read_holidays(spark: SparkSession, path: str, charset: str = "big5") -> DataFrame:

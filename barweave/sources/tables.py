@@ -56,6 +56,21 @@ def write_partitions(
     )
 
 
+def drop_days(spark: SparkSession, path: str, subject: str, days: Sequence[str]) -> None:
+    """Remove the partitions of a subject's days (``yyyy_MM_dd``), whether there or not.
+
+    Writing replaces the partitions that occur in the new rows; a day that has none any
+    more is removed here, so that no rows of an earlier run stay.
+    """
+    jvm = spark._jvm
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(
+        spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    for day in days:
+        partition = f"{path}/subject={subject}/ds={day.replace('_', '-')}"
+        files.delete(jvm.org.apache.hadoop.fs.Path(partition), True)
+
+
 def conform(df: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
     """Columns of ``schema`` by name, in its order, or an error.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barweave.plans.daily import run_day
+from barweave.plans.daily import run_days
 from barweave.plans.layout import Layout
 from barweave.schemas import ARCHIVE_DAY_PATTERN, SUBJECTS
 from barweave.sources.landed import file_name
@@ -34,19 +34,24 @@ def catch_up(
     layout: Layout,
     checkpoint: str,
     subjects: Sequence[str] = tuple(SUBJECTS),
-    run: Callable[[SparkSession, Layout, str], object] | None = None,
+    run: Callable[[SparkSession, Layout, list[str]], object] | None = None,
 ) -> StreamingQuery:
-    """Process all new days, oldest first, then stop.
+    """Process all new days as one range, then stop.
 
     The checkpoint remembers files, not results: a day is always run as a whole, so a file
     that lands late makes its day run again and replace itself.
     """
-    run = run or (lambda session, where, day: run_day(session, where, day, subjects=subjects))
+    def run_landed(session: SparkSession, where: Layout, days: list[str]) -> object:
+        first, last = (days[i].replace("_", "-") for i in (0, -1))
+        return run_days(session, where, first, last, subjects=subjects, only=days)
+
+    run = run or run_landed
 
     def process(batch: DataFrame, _: int) -> None:
         # One row per day: a file name is all that was read of each file.
-        for row in batch.distinct().orderBy("day").collect():
-            run(batch.sparkSession, layout, row.day.replace("_", "-"))
+        days = [row.day for row in batch.distinct().orderBy("day").collect()]
+        if days:
+            run(batch.sparkSession, layout, days)
 
     return (
         landed_days(spark, layout, subjects)

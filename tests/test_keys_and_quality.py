@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barweave.operators.keys import absent_rows, new_dimension_rows, number_rows
-from barweave.operators.lookups import broadcast_if_small, detail_facts, with_single_id
+from barweave.operators.lookups import detail_facts, with_single_id
 from barweave.operators.quality import (
     DataQualityError,
     duplicate_keys,
@@ -59,18 +59,6 @@ def test_single_id(spark):
     assert "Join" not in with_id._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_only_when_small(spark):
-    facts = spark.range(10).select(F.col("id").alias("k"))
-    dim = spark.range(100).select(F.col("id").alias("k"), F.lit("x" * 100).alias("text"))
-
-    def hinted(side):
-        return "strategy=broadcast" in facts.join(side, "k")._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(broadcast_if_small(dim))
-    assert not hinted(broadcast_if_small(dim, max_rows=99))
-    assert not hinted(broadcast_if_small(dim, max_bytes=1000))
-    assert facts.join(broadcast_if_small(dim, max_rows=9), "k").count() == 10
-
 
 def test_detail_facts_drop_unknown_contracts(spark):
     bars = spark.createDataFrame([("TX", "M", 1), ("??", "M", 2)], "contract string, expire_code string, v int")

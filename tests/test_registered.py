@@ -10,7 +10,7 @@ from oracle import compare, connect
 import __spark_entry__ as entry_module
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = entry_module.QUERIES, entry_module.ORACLES
 
 
 @pytest.fixture(scope="module")

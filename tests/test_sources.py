@@ -116,7 +116,7 @@ def test_members_and_batches(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(landed, "BATCH_LINES", 3)
     first = crlf(*(f"a{i}" for i in range(7)))
     put(f"{tmp_path}/x.zip", zipped(one=first, two=crlf("b0", "b1"), none=""))
-    rows = landed.read_lines(spark, str(tmp_path), "*.zip").orderBy("row_no").collect()
+    rows = landed.read_lines(spark, str(tmp_path), "*.zip", zipped=True).orderBy("row_no").collect()
     assert [r.line for r in rows] == [f"a{i}" for i in range(7)] + ["b0", "b1"]
     assert [r.row_no for r in rows] == list(range(9))
     assert [r.line_no for r in rows] == [*range(7), 0, 1]

@@ -18,16 +18,16 @@ def test_catch_up_runs_landed_days_once(spark, tmp_path):
     land_holidays(where.root)
     ran = []
 
-    def run(session, layout, day):
-        ran.append(day)
+    def run(session, layout, days):
+        ran.append(days)
 
     catch_up(spark, where, checkpoint, run=run).awaitTermination()
     catch_up(spark, where, checkpoint, run=run).awaitTermination()
-    assert ran == ["2022-01-20"]
+    assert ran == [["2022_01_20"]]
     land_day(where.root, "2022_01_24")
     land_day(where.root, "2022_01_21")
     catch_up(spark, where, checkpoint, run=run).awaitTermination()
-    assert ran == ["2022-01-20", "2022-01-21", "2022-01-24"]
+    assert ran == [["2022_01_20"], ["2022_01_21", "2022_01_24"]]
 
 
 def test_catch_up_fills_the_warehouse(spark, tmp_path):
