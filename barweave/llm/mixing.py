@@ -160,7 +160,9 @@ def _permuted(dealt: DataFrame, seed: int) -> DataFrame:
         ordinal_bits(F.lit(seed), F.col("_s"), F.col("_block")), "_block"
     )
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    sums = dealt.groupBy("_s", "_block").agg(
+    # Summed by block before the blocks of a source meet: else its documents would.
+    narrow = dealt.select("_s", "_block", "_size", "_rest", "_passes").repartition("_s", "_block")
+    sums = narrow.groupBy("_s", "_block").agg(
         F.sum("_size").alias("_words"),
         F.first("_rest").alias("_rest"),
         F.first("_passes").alias("_passes"),
