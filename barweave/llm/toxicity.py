@@ -20,8 +20,8 @@ from barweave.llm.common import Packed
 
 ORDERS = (4, 5)
 BUCKET_BITS = 20
-SAMPLE_ROWS = 10_000
-SAMPLE_CHARACTERS = 10_000
+SAMPLE_ROWS = 8_000
+SAMPLE_CHARACTERS = 6_000
 THRESHOLD = 0.3
 LEAST_TEXTS = 3  # that have a bucket for it to count
 LEAST_RATIO = 1.0
@@ -83,17 +83,24 @@ class Model:
         weights = np.zeros(size, dtype=np.float32)
         if not 0 < positive < n:
             return cls(bias, weights)
-        column = np.concatenate(features).astype(np.int64)
-        row = np.repeat(np.arange(n), [len(f) for f in features])
-        among = np.bincount(column, toxic[row], size)
-        other = np.bincount(column, minlength=size) - among
+        # One text at a time: only what the model uses is ever put together.
+        held, among = np.zeros(size), np.zeros(size)
+        for buckets_of, is_toxic in zip(features, toxic):
+            held[buckets_of] += 1
+            if is_toxic:
+                among[buckets_of] += 1
+        other = held - among
         ratio = np.log((among + SMOOTHING) / (among.sum() + SMOOTHING * size)) - np.log(
             (other + SMOOTHING) / (other.sum() + SMOOTHING * size)
         )
         used = (among + other >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
-        kept = used[column]
-        chosen, column = np.unique(column[kept], return_inverse=True)
-        row, scale = row[kept], ratio[chosen]
+        chosen = np.flatnonzero(used)
+        place = np.zeros(size, dtype=np.int32)
+        place[chosen] = np.arange(len(chosen))
+        kept = [place[f[used[f]]] for f in features]
+        column = np.concatenate(kept)
+        row = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in kept])
+        scale = ratio[chosen]
         value = scale[column]
 
         w, b = np.zeros(len(chosen)), bias
