@@ -15,7 +15,7 @@ import numpy as np
 
 from barweave.llm.wordhash import BLANK, Words
 
-CACHED_PIECES = 3_000_000
+CACHED_PIECES = 1_000_000
 CALL_PIECES = 20_000
 SPECIAL_MARK = b"<|"
 DETACHED = b".,"

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _CLASSES = np.arange(256)
 #: Bytes that end a word: blanks and the control characters 9 to 13.
