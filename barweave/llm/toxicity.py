@@ -130,7 +130,8 @@ def train(
     """A model of labelled texts that are not held out.
 
     An id with several labels is toxic if one says so; null labels and ids are left out.
-    Without labels of both kinds every text gets the share of toxic ones as its score.
+    Of an id that repeats the last text in order is taken. Without labels of both kinds every
+    text gets the share of toxic ones as its score.
     """
     known = (
         labels.select(F.col(doc_id).alias("id"), F.col(label).cast("double").alias("toxic"))
@@ -139,10 +140,11 @@ def train(
         .groupBy("id")
         .agg(F.max("toxic").alias("toxic"))
     )
+    # At most so many rows, by the parameter: the texts stay where they are.
+    chosen = known.orderBy(F.md5(F.col("id").cast("string")), "id").limit(rows)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     texts = texts.where(F.coalesce(F.length("text"), F.lit(0)) <= characters)
-    order = [F.md5(F.col("id").cast("string")), F.md5("text")]
-    sample = known.join(texts, "id").select("toxic", "text", *order).orderBy(*order).limit(rows)
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "toxic").agg(F.max("text").alias("text"))
 
     def featured(batches):
         import numpy as np
@@ -156,8 +158,7 @@ def train(
 
     import numpy as np
 
-    spread = sample.select("toxic", "text").repartition(F.xxhash64("text"))
-    found = spread.mapInArrow(featured, "toxic double, held binary").toPandas()
+    found = sample.select("toxic", "text").mapInArrow(featured, "toxic double, held binary").toPandas()
     # The order of rows must not change sums of floats between runs.
     found = found.sort_values(["held", "toxic"], kind="stable")
     features = [np.frombuffer(h, dtype=np.uint32) for h in found["held"]]
