@@ -90,7 +90,9 @@ def test_quality(spark, docs):
     assert {r.kept for r in found if r.doc_id == 1} == {True}
     assert judge_quality(empty(spark)).count() == 0
     line = "one two three four"
-    own = [(i, f"{line}\n" + " ".join(f"u{i}_{k}" for k in range(30)), "h", "", "") for i in range(30)]
+    rng = random.Random(1)
+    unlike = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(30)) for _ in range(30)]
+    own = [(i, f"{line}\n{body}", "h", "", "") for i, body in enumerate(unlike)]
     shared = judge_quality(spark.createDataFrame(own, SCHEMA)).collect()
     assert all(r.n_removed_words == 4 and line not in r.clean_text and r.kept for r in shared)
 
