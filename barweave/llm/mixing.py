@@ -120,7 +120,12 @@ def mix(measured: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
         passes.alias("_passes"),
         (F.col("target") - passes * F.col("source_size")).alias("_rest"),
     )
-    dealt = rows.join(sources, "_s").withColumn("_block", F.pmod("_bits", "_blocks"))
+    # Dealt by block: what follows would else be content with the join's deal by source.
+    dealt = (
+        rows.join(sources, "_s")
+        .withColumn("_block", F.pmod("_bits", "_blocks"))
+        .repartition("_s", "_block")
+    )
     blocks = _permuted(dealt, seed)
     places = _leaves(blocks, shards, seed)
     in_block = (
@@ -160,9 +165,7 @@ def _permuted(dealt: DataFrame, seed: int) -> DataFrame:
         ordinal_bits(F.lit(seed), F.col("_s"), F.col("_block")), "_block"
     )
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    # Summed by block before the blocks of a source meet: else its documents would.
-    narrow = dealt.select("_s", "_block", "_size", "_rest", "_passes").repartition("_s", "_block")
-    sums = narrow.groupBy("_s", "_block").agg(
+    sums = dealt.groupBy("_s", "_block").agg(
         F.sum("_size").alias("_words"),
         F.first("_rest").alias("_rest"),
         F.first("_passes").alias("_passes"),
