@@ -216,24 +216,26 @@ def _cells(texts: DataFrame, ranges: DataFrame, percent: int) -> DataFrame:
         keys = postings_of(grams, node, percent)
         return keys.view(np.int64), np.full(len(keys), node, dtype=np.int64)
 
-    posted = _fold(texts, make, "part bigint, node bigint")
-    together = Window.partitionBy("part")
+    # Aggregates and joins only, so that no posting, however many points it has, is one task's.
+    posted = materialize(_fold(texts, make, "part bigint, node bigint"))
+    met = posted.groupBy("part").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    # A set that several tasks have met repeats its postings.
     shared = materialize(
-        posted.select(
-            "*", F.min("node").over(together).alias("low"), F.max("node").over(together).alias("high")
-        )
-        .where("low <> high")
-        .select("part", "node")
+        posted.join(met.where("low <> high").select("part"), "part").distinct()
     )
-    dealt = shared.join(ranges, "node").repartition("part").sortWithinPartitions("part", "node")
+    counts = shared.groupBy("part").agg(F.min("node").alias("b"), F.count("*").alias("points"))
+    crowded = materialize(counts.where(F.col("points") > TIED_POINTS).select("part", "b"))
+    stars = shared.join(crowded, "part").select(F.col("node").alias("a"), "b").distinct()
+    few = shared.join(crowded, "part", "left_anti").join(ranges, "node")
+    dealt = few.repartition("part").sortWithinPartitions("part", "node")
     ties = dealt.select("part", "node", "size", "ranges").mapInArrow(
         _tie(percent), "a bigint, b bigint"
     )
-    return components(ties).withColumnRenamed("label", "cell")
+    return components(ties.unionByName(stars)).withColumnRenamed("label", "cell")
 
 
 def _tie(percent: int):
-    """Spanning edges of the ties in each posting; rows come by posting and node."""
+    """Spanning edges of the ties in each posting of at most ``TIED_POINTS``; rows come by posting."""
 
     def tied(batches):
         import numpy as np
@@ -264,21 +266,14 @@ def _tie(percent: int):
                 [pa.array(c, pa.int64()) for c in columns], ["a", "b"]
             )
 
-        part, points, star, edges = None, {}, None, []
+        part, points, edges = None, {}, []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[0] != part:
                     if len(points) > 1:
                         edges += settle(list(points), *zip(*points.values()))
-                    part, points, star = row[0], {}, None
-                if star is not None:
-                    edges.append((row[1], star))
-                else:
-                    points[row[1]] = row[2:]
-                    if len(points) > TIED_POINTS:
-                        star = next(iter(points))
-                        edges += [(node, star) for node in points]
-                        points = {}
+                    part, points = row[0], {}
+                points[row[1]] = row[2:]
                 if len(edges) > 100_000:
                     yield flush(edges)
                     edges = []

@@ -108,6 +108,39 @@ def test_near_classes(spark, docs, monkeypatch, points):
     assert near_classes(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("tied", [4096, 3])
+def test_near_classes_as_brute_force(spark, monkeypatch, tied):
+    """Chains of near copies, crowded postings included, as all pairs have them."""
+    monkeypatch.setattr(near_join, "TIED_POINTS", tied)
+    rng = random.Random(11)
+    words = [f"w{n}" for n in range(50)]
+    texts = []
+    for _ in range(6):
+        text = [rng.choice(words) for _ in range(rng.choice([6, 40, 120]))]
+        for _ in range(14):
+            texts.append(" ".join(text))
+            text = [*text]
+            text[rng.randrange(len(text))] = rng.choice(words)
+    sets = []
+    for text in texts:
+        split = text.split(" ")
+        sets.append({tuple(split[i : i + 4]) for i in range(len(split) - 3)})
+    least = list(range(len(texts)))
+    linked = [
+        (i, j)
+        for i in least
+        for j in range(i)
+        if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    ]
+    for _ in texts:
+        for i, j in linked:
+            least[i] = least[j] = min(least[i], least[j])
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: (r.component_id, r.n_links) for r in near_classes(rows).collect()}
+    degree = [sum(n in pair for pair in linked) for n in range(len(texts))]
+    assert found == {n: (least[n], degree[n]) for n in range(len(texts))}
+
+
 def test_decontamination(spark, docs):
     texts = [r.text for r in docs.where("doc_id = 7").collect()]
     quoted = " ".join(texts[0].split()[100:115])
