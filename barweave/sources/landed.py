@@ -151,7 +151,7 @@ def parse_csv(lines: DataFrame, schema: T.StructType, *extra: Column) -> DataFra
     )
 
 
-def _origin() -> list[Column]:
+def origin_columns() -> list[Column]:
     """Columns every raw record carries besides its fields."""
     return [
         F.col("ds"),
@@ -175,7 +175,7 @@ def _read_csv_lines(
     lines = skip_lines(read_lines(spark, path, glob, charset, zipped=zipped), head, stop)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     names = files.select(F.col("path").alias("source_file"))
-    return parse_csv(with_file_numbers(lines, names), schema, *_origin())
+    return parse_csv(with_file_numbers(lines, names), schema, *origin_columns())
 
 
 def read_futures(
@@ -214,7 +214,7 @@ def read_etf(spark: SparkSession, path: str, days: Sequence[str] | None = None)
     ticks = documents.select("source_file", F.posexplode("data").alias("row_no", "tick"))
     ticks = ticks.withColumn("row_no", F.col("row_no").cast("bigint"))
     ticks = with_file_numbers(ticks, documents).withColumn("line_no", F.col("row_no"))
-    return ticks.select("tick.*", *_origin())
+    return ticks.select("tick.*", *origin_columns())
 
 
 def read_holidays(spark: SparkSession, path: str, charset: str = "big5") -> DataFrame:
