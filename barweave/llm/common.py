@@ -83,6 +83,21 @@ def shuffles_dropped(spark: SparkSession):
             spark.conf.set(name, before)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote and no later step reads.
+
+    To be called when the tables made of them are written whole: from then on a lost
+    executor has its work repeated from those.
+    """
+    for table_read in tables:
+        context = table_read.sparkSession.sparkContext
+        hadoop = context._jvm.org.apache.hadoop.fs.Path
+        folders = {file.rsplit("/", 1)[0] for file in table_read.inputFiles()}
+        for folder in folders:
+            path = hadoop(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def runs_of(text: str, pattern: str) -> Column:
     """Array of ``start`` and ``stop`` of all matches in a text column, in code points."""
     pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))

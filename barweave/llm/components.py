@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barweave.llm.common import discard
 from barweave.session import materialize
 
 
@@ -15,7 +16,7 @@ def components(edges: DataFrame) -> DataFrame:
     its label, so paths shorten by more than half; it ends when no label has changed. A node
     with very many links is combined on the map side, and its join partition is split by
     adaptive execution. Rounds are written to the shared folder; nothing but the number of
-    changes comes to the driver. Without edges the result is empty.
+    changes comes to the driver; a round's tables go when the next one is written. Without edges the result is empty.
     """
     both = materialize(
         edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -41,7 +42,8 @@ def components(edges: DataFrame) -> DataFrame:
         jumped = taken.join(ahead, "via").select(
             "node", F.least("via", "next").alias("label"), "old"
         )
-        labels = materialize(jumped)
+        before, labels = labels, materialize(jumped)
+        discard(before)
         if labels.where("label <> old").isEmpty():
+            discard(both)
             return labels.select("node", "label")
-        labels = labels.select("node", "label")

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barweave.llm.common import Packed, shuffles_dropped
+from barweave.llm.common import Packed, discard, shuffles_dropped
 from barweave.llm.components import components
 from barweave.session import materialize
 
@@ -218,11 +218,11 @@ def _cells(texts: DataFrame, ranges: DataFrame, percent: int) -> DataFrame:
 
     # Aggregates and joins only, so that no posting, however many points it has, is one task's.
     posted = materialize(_fold(texts, make, "part bigint, node bigint"))
-    met = posted.groupBy("part").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    bounds = posted.groupBy("part").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    met = materialize(bounds.where("low <> high").select("part"))
     # A set that several tasks have met repeats its postings.
-    shared = materialize(
-        posted.join(met.where("low <> high").select("part"), "part").distinct()
-    )
+    shared = materialize(posted.join(met, "part").distinct())
+    discard(posted, met)
     counts = shared.groupBy("part").agg(F.min("node").alias("b"), F.count("*").alias("points"))
     crowded = materialize(counts.where(F.col("points") > TIED_POINTS).select("part", "b"))
     stars = shared.join(crowded, "part").select(F.col("node").alias("a"), "b").distinct()
@@ -231,7 +231,9 @@ def _cells(texts: DataFrame, ranges: DataFrame, percent: int) -> DataFrame:
     ties = dealt.select("part", "node", "size", "ranges").mapInArrow(
         _tie(percent), "a bigint, b bigint"
     )
-    return components(ties.unionByName(stars)).withColumnRenamed("label", "cell")
+    cells = components(ties.unionByName(stars)).withColumnRenamed("label", "cell")
+    discard(shared, crowded)
+    return cells
 
 
 def _tie(percent: int):
@@ -343,13 +345,21 @@ def _settled(points: DataFrame, percent: int) -> DataFrame:
         joined = materialize(_join_small(small, percent))
         done = joined if done is None else done.unionByName(joined)
         if large.isEmpty():
+            discard(points, large)
             return done
-        points = materialize(_split(points.join(large, "region"), large, percent, level))
+        parts, measured = _split(points.join(large, "region"), large, percent, level)
+        before, points = points, materialize(parts)
+        discard(before, large, measured)
         level += 1
 
 
-def _split(points: DataFrame, sizes: DataFrame, percent: int, level: int) -> DataFrame:
-    """Regions around pivots, or pairs of blocks where pivots do not separate."""
+def _split(
+    points: DataFrame, sizes: DataFrame, percent: int, level: int
+) -> tuple[DataFrame, DataFrame]:
+    """Regions around pivots, or pairs of blocks where pivots do not separate.
+
+    Comes with the table that the regions are read from.
+    """
     ranked = Window.partitionBy("region").orderBy(F.xxhash64(F.lit(level), "node"))
     chunks = F.ceil(F.col("points") / REGION_POINTS)
     pivots = (
@@ -436,7 +446,7 @@ def _split(points: DataFrame, sizes: DataFrame, percent: int, level: int) -> Dat
         "copies",
         "grams",
     )
-    return voronoi.unionByName(paired)
+    return voronoi.unionByName(paired), measured
 
 
 def _join_small(points: DataFrame, percent: int) -> DataFrame:
@@ -562,6 +572,7 @@ def near_classes(
         cells = _cells(texts, weights.select("node", "size", "ranges"), percent)
         points = _points(texts, cells, weights.select("node", "copies"))
         settled = _settled(points, percent)
+        discard(cells)
         reached = settled.where("node <> least")
         labels = components(reached.select(F.col("node").alias("a"), F.col("least").alias("b")))
     counts = settled.groupBy("node").agg(F.sum("links").alias("links"))
