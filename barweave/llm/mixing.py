@@ -13,7 +13,8 @@ sources in them vary as in a perfect shuffle. A leaf's quotas are consecutive pl
 permutations of the sources: the blocks of shards are disjoint. Rows are then put in a
 random order inside their shard only.
 
-Documents move as narrow rows (host, block, hash, size) once. A source with a third of all
+Blocks and quotas are planned on narrow rows (number, source, hash, size); the documents meet
+the plan by their number. A source with a third of all
 documents is many blocks; what meets in one task are a block's rows, one row per block of a
 source, or one row per source.
 """
@@ -100,9 +101,10 @@ def mix(measured: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
     texts before if they are not wanted behind.
     """
     made = ("source_size", "target", "copies")
-    packed = Packed(materialize(measured))
-    rows = packed.rows.select(
-        "*",
+    packed = Packed(measured)
+    stored = materialize(packed.rows.withColumn("_row", F.monotonically_increasing_id()))
+    rows = stored.select(
+        "_row",
         packed["stratum"].alias("_s"),
         packed["size"].alias("_size"),
         packed["draw"].alias("_bits"),
@@ -151,12 +153,13 @@ def mix(measured: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
         ),
     )
     none = F.array().cast("array<struct<shard:int,place:bigint>>")
-    return placed.select(
-        *packed.back(made),
+    planned = placed.select(
+        "_row",
         "source_size",
         "target",
         F.when(n_copies > 0, copies).otherwise(none).alias("copies"),
     )
+    return stored.join(planned, "_row").select(*packed.back(made), *made)
 
 
 def _permuted(dealt: DataFrame, seed: int) -> DataFrame:
