@@ -19,7 +19,8 @@ link within ``1 - 0.85``. Equal sets are one point with a multiplicity. Then:
    they are small. Where windows are so wide that a split does not make regions smaller,
    the region is cut into blocks and each pair of blocks is a region: always exact.
 3. *Join.* In a small region all similarities come from products of a 0/1 matrix. A pair is
-   counted where one of the two at least is at home at each level, which is exactly once.
+   counted where at each level one of the two at least is at home, or the two are of a
+   region's two blocks, which is exactly once. ``mask`` has a byte for each level for that.
 
 A region returns one row per point (its number of links, and the least point it reaches), so
 a group of thousands of near copies gives thousands of rows. Components of those rows are the
@@ -323,11 +324,11 @@ def _points(texts: DataFrame, cells: DataFrame, weights: DataFrame) -> DataFrame
     return (
         once.join(cells, "node")
         .join(weights, "node")
-        .select(F.col("cell").alias("region"), F.lit(0).cast("bigint").alias("mask"), "node", "copies", "grams")
+        .select(F.col("cell").alias("region"), F.expr("X''").alias("mask"), "node", "copies", "grams")
     )
 
 
-POINT = "region bigint, mask bigint, node bigint, copies bigint, grams binary"
+POINT = "region bigint, mask binary, node bigint, copies bigint, grams binary"
 
 
 def _settled(points: DataFrame, percent: int) -> DataFrame:
@@ -408,16 +409,17 @@ def _split(
         .select("region", "points", "grams_in", (F.col("most") <= 0.7 * F.col("points")).alias("apart"))
     )
     judged = measured.join(worth, "region")
-    bit = F.lit(1 << (level % 60)).cast("bigint")
+    # One byte for each level; two points whose bytes of a level share a bit are no pair here.
+    neither, first, second = (F.expr(f"X'0{n}'") for n in range(3))
     voronoi = judged.where("apart").select(
         F.xxhash64("region", "child", F.lit(level)).alias("region"),
-        F.when(F.col("home"), F.col("mask")).otherwise(F.col("mask").bitwiseOR(bit)).alias("mask"),
+        F.concat("mask", F.when(F.col("home"), neither).otherwise(first)).alias("mask"),
         "node",
         "copies",
         "grams",
     )
     # Blocks: every point with its own and each other block; in a region of two blocks only
-    # pairs across count, which bit 61 (first block) and bit 62 (second) say.
+    # pairs across count, which the level's byte says: 1 in the first block, 2 in the second.
     needed = F.greatest(
         F.lit(2),
         F.ceil(F.col("points") * 2 / REGION_POINTS),
@@ -432,16 +434,15 @@ def _split(
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     )
     side = (
-        F.when(F.col("own") < F.col("other"), F.lit(1 << 61))
-        .when(F.col("own") > F.col("other"), F.lit(1 << 62))
-        .otherwise(F.lit(0))
-        .cast("bigint")
+        F.when(F.col("own") < F.col("other"), first)
+        .when(F.col("own") > F.col("other"), second)
+        .otherwise(neither)
     )
     paired = cross.select(
         F.xxhash64(
             "region", F.least("own", "other"), F.greatest("own", "other"), F.lit(level), F.lit("block")
         ).alias("region"),
-        F.col("mask").bitwiseOR(side).alias("mask"),
+        F.concat("mask", side).alias("mask"),
         "node",
         "copies",
         "grams",
@@ -459,9 +460,10 @@ def _join_small(points: DataFrame, percent: int) -> DataFrame:
         def settle(rows):
             counts = link_counts([np.frombuffer(r[4], dtype=np.uint64) for r in rows])
             sizes = np.array([len(r[4]) // 8 for r in rows], dtype=np.int64)
-            masks = np.array([r[1] for r in rows], dtype=np.int64)
+            levels = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8)
             linked = 100 * counts >= percent * (sizes[:, None] + sizes[None, :] - counts)
-            linked &= (masks[:, None] & masks[None, :]) == 0
+            for sides in levels.reshape(len(rows), len(rows[0][1])).T:
+                linked &= (sides[:, None] & sides[None, :]) == 0
             np.fill_diagonal(linked, False)
             copies = np.array([r[3] for r in rows], dtype=np.int64)
             nodes = np.array([r[2] for r in rows], dtype=np.int64)

@@ -141,6 +141,30 @@ def test_near_classes_as_brute_force(spark, monkeypatch, tied):
     assert found == {n: (least[n], degree[n]) for n in range(len(texts))}
 
 
+@pytest.mark.parametrize("points, grams", [(8, 1 << 20), (1024, 1500)])
+def test_near_classes_in_nested_cuts(spark, monkeypatch, points, grams):
+    """One dense group, cut into pairs of blocks again and again, as all pairs have it."""
+    monkeypatch.setattr(near_join, "REGION_POINTS", points)
+    monkeypatch.setattr(near_join, "REGION_GRAMS", grams)
+    levels = []
+    split = near_join._split
+    monkeypatch.setattr(near_join, "_split", lambda *given: (levels.append(given[-1]), split(*given))[1])
+    rng = random.Random(5)
+    texts = []
+    for n in range(36):
+        text = [f"w{k}" for k in range(160)]
+        text[rng.randrange(160)] = f"x{n}"
+        texts.append(text)
+    sets = [{tuple(t[i : i + 4]) for i in range(len(t) - 3)} for t in texts]
+    degree = [
+        sum(a is not b and 100 * len(a & b) >= 85 * len(a | b) for b in sets) for a in sets
+    ]
+    rows = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id bigint, text string")
+    found = {r.doc_id: (r.component_id, r.n_links) for r in near_classes(rows).collect()}
+    assert len(levels) > 1 and sum(degree) > 36 * 12
+    assert found == {n: (0, degree[n]) for n in range(36)}
+
+
 def test_decontamination(spark, docs):
     texts = [r.text for r in docs.where("doc_id = 7").collect()]
     quoted = " ".join(texts[0].split()[100:115])
