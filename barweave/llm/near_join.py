@@ -1,7 +1,7 @@
 """N-gram Jaccard join: an exact self-join of documents in Jaccard's metric space.
 
 The distance is one minus the Jaccard similarity of two sets of word 4-grams, and documents
-link within ``1 - 0.85``. Equal sets are one point with a multiplicity. Then:
+link within ``1 - 0.85``, or of n-grams and within what the caller asks for. Equal sets are one point with a multiplicity. Then:
 
 1. *Cells.* Most pairs of texts are at distance one, where pivots tell nothing. So points
    are first put in cells such that no link leaves a cell. The 4-grams are dealt by hash into
@@ -87,8 +87,8 @@ def _set_hashes(grams):
     return np.add.reduce(mix(grams)) if len(grams) else np.uint64(0)
 
 
-def _distinct_grams(texts):
-    """The set of 4-gram hashes of each text, sorted."""
+def _distinct_grams(texts, shingle: int):
+    """The set of n-gram hashes of each text, sorted."""
     import numpy as np
 
     from barweave.llm.wordhash import BLANK, Words, shingle_hashes
@@ -96,7 +96,7 @@ def _distinct_grams(texts):
     words = Words(texts, BLANK)
     for i in range(len(texts)):
         found = words.hashes[words.first[i] : words.first[i + 1]]
-        yield np.unique(shingle_hashes(found, SHINGLE))
+        yield np.unique(shingle_hashes(found, shingle))
 
 
 def postings_of(grams, node: int, percent: int):
@@ -129,8 +129,8 @@ def postings_of(grams, node: int, percent: int):
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def add_nodes(rows: DataFrame, text: str) -> DataFrame:
-    """The rows with ``node``, the hash of the 4-gram set, ``n_shingles`` and ``ranges``.
+def add_nodes(rows: DataFrame, text: str, shingle: int = SHINGLE) -> DataFrame:
+    """The rows with ``node``, the hash of the n-gram set, ``n_shingles`` and ``ranges``.
 
     The text may be any column; the others pass through as they are.
     """
@@ -154,7 +154,7 @@ def add_nodes(rows: DataFrame, text: str) -> DataFrame:
 
         for batch in slices(batches, at):
             nodes, sizes, ranges = [], [], []
-            for grams in _distinct_grams(text_bytes(batch.column(at))):
+            for grams in _distinct_grams(text_bytes(batch.column(at)), shingle):
                 nodes.append(_set_hashes(grams))
                 sizes.append(len(grams))
                 held = np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=RANGES)
@@ -172,7 +172,7 @@ def add_nodes(rows: DataFrame, text: str) -> DataFrame:
     return rows.mapInArrow(hashed, schema)
 
 
-def _fold(texts: DataFrame, make, schema: str) -> DataFrame:
+def _fold(texts: DataFrame, make, schema: str, shingle: int) -> DataFrame:
     """Rows that ``make(node, grams)`` has for the sets of ``texts``; a task skips repeats.
 
     ``make`` gives arrays of equal length, or None.
@@ -188,7 +188,7 @@ def _fold(texts: DataFrame, make, schema: str) -> DataFrame:
         seen: set[int] = set()
         for batch in slices(batches, 0):
             made = []
-            for grams in _distinct_grams(text_bytes(batch.column(0))):
+            for grams in _distinct_grams(text_bytes(batch.column(0)), shingle):
                 node = int(_set_hashes(grams).view(np.int64))
                 if len(grams) == 0 or node in seen:
                     continue
@@ -208,7 +208,7 @@ def _fold(texts: DataFrame, make, schema: str) -> DataFrame:
     return texts.mapInArrow(folded, schema)
 
 
-def _cells(texts: DataFrame, ranges: DataFrame, percent: int) -> DataFrame:
+def _cells(texts: DataFrame, ranges: DataFrame, percent: int, shingle: int) -> DataFrame:
     """``node`` and ``cell`` of all points that are tied to another."""
 
     def make(node, grams):
@@ -218,7 +218,7 @@ def _cells(texts: DataFrame, ranges: DataFrame, percent: int) -> DataFrame:
         return keys.view(np.int64), np.full(len(keys), node, dtype=np.int64)
 
     # Aggregates and joins only, so that no posting, however many points it has, is one task's.
-    posted = materialize(_fold(texts, make, "part bigint, node bigint"))
+    posted = materialize(_fold(texts, make, "part bigint, node bigint", shingle))
     bounds = posted.groupBy("part").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     met = materialize(bounds.where("low <> high").select("part"))
     # A set that several tasks have met repeats its postings.
@@ -304,7 +304,7 @@ def _bloom(nodes: DataFrame) -> bytes:
     return filled.tobytes()
 
 
-def _points(texts: DataFrame, cells: DataFrame, weights: DataFrame) -> DataFrame:
+def _points(texts: DataFrame, cells: DataFrame, weights: DataFrame, shingle: int) -> DataFrame:
     """Points of cells with their sets: ``region``, ``mask``, ``node``, ``copies``, ``grams``."""
     spark = texts.sparkSession
     bloom = spark.sparkContext.broadcast(_bloom(cells))
@@ -318,7 +318,7 @@ def _points(texts: DataFrame, cells: DataFrame, weights: DataFrame) -> DataFrame
             return None
         return [node], [grams.tobytes()]
 
-    sets = _fold(texts, make, "node bigint, grams binary")
+    sets = _fold(texts, make, "node bigint, grams binary", shingle)
     # A task repeats a set rarely, tasks among them do.
     once = sets.groupBy("node").agg(F.first("grams").alias("grams"))
     return (
@@ -538,16 +538,20 @@ def link_counts(sets):
 
 
 def near_classes(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    percent: int = PERCENT,
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """Every row of ``docs`` but its text, with ``n_shingles``, ``component_id``, ``n_links``.
 
-    ``n_shingles`` is the size of the set of word 4-grams (a shorter text is one, as a
-    whole), words being split at blanks with A-Z lower-cased. ``component_id`` is the least
+    ``n_shingles`` is the size of the set of word n-grams, ``shingle`` words each (a shorter
+    text is one, as a whole), words being split at blanks with A-Z lower-cased. ``component_id`` is the least
     id reachable by links, ``n_links`` the number of rows linked with the row, copies
     included. Also adds ``node``, the 64-bit hash of the set: equal sets, equal nodes.
 
-    A null, empty or blank text has no 4-grams, links with nothing and is a component by its
+    A null, empty or blank text has no n-grams, links with nothing and is a component by its
     own id. Rows that repeat link with each other. A null id is never the least unless all
     ids reachable are null. Very long texts need memory in proportion. An empty table stays
     empty. Columns named like an added one are replaced.
@@ -556,7 +560,7 @@ def near_classes(
     packed = Packed(docs)
     at = f"in_{packed.names.index(text)}"
     texts = packed.rows.select(at)
-    rows = materialize(add_nodes(packed.rows, at).drop(at))
+    rows = materialize(add_nodes(packed.rows, at, shingle).drop(at))
     kept = [c for n, c in zip(packed.names, packed.back()) if n != text and n.lower() not in made]
     weights = (
         rows.where("n_shingles > 0")
@@ -571,8 +575,8 @@ def near_classes(
     # Every step writes a table, so its shuffle files are of no more use.
     with shuffles_dropped(docs.sparkSession):
         weights = materialize(weights)
-        cells = _cells(texts, weights.select("node", "size", "ranges"), percent)
-        points = _points(texts, cells, weights.select("node", "copies"))
+        cells = _cells(texts, weights.select("node", "size", "ranges"), percent, shingle)
+        points = _points(texts, cells, weights.select("node", "copies"), shingle)
         settled = _settled(points, percent)
         discard(cells)
         reached = settled.where("node <> least")
@@ -601,14 +605,18 @@ def near_classes(
 
 
 def keep_one(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    percent: int = PERCENT,
+    shingle: int = SHINGLE,
 ) -> DataFrame:
-    """One row of each component, that of the least id; rows without 4-grams stay, all.
+    """One row of each component, that of the least id; rows without n-grams stay, all.
 
     Where rows of that id repeat, one of them stays. A component whose ids are all null
     keeps one row. The columns are those of ``docs``.
     """
-    classes = near_classes(docs.select(doc_id, text), text, doc_id, percent)
+    classes = near_classes(docs.select(doc_id, text), text, doc_id, percent, shingle)
     own = F.col(doc_id)
     chosen = (
         classes.where(F.col("n_shingles") > 0)
@@ -618,7 +626,7 @@ def keep_one(
         .select(F.col("component_id").alias("_id"), "_node")
     )
     packed = Packed(docs)
-    keyed = add_nodes(packed.rows, f"in_{packed.names.index(text)}")
+    keyed = add_nodes(packed.rows, f"in_{packed.names.index(text)}", shingle)
     blank = keyed.where("n_shingles = 0").select(*packed.back())
     first = Window.partitionBy("_node", "_id").orderBy(packed[text])
     kept = (

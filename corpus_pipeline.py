@@ -15,6 +15,8 @@ from barweave.llm.quality import judge_quality
 from barweave.llm.sharding import assign_shards
 from barweave.session import shared_folder
 
+# Near copies of the stage: word shingles and percent of similarity.
+SHINGLE, PERCENT = 5, 80
 SHARDS = tuple(f"shard-{n:02d}" for n in range(16))
 
 
@@ -40,7 +42,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies."""
-    return keep_one(docs)
+    return keep_one(docs, percent=PERCENT, shingle=SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

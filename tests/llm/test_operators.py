@@ -165,6 +165,20 @@ def test_near_classes_in_nested_cuts(spark, monkeypatch, points, grams):
     assert found == {n: (0, degree[n]) for n in range(36)}
 
 
+def test_stage_of_near_copies_at_five_words(spark):
+    """Eleven scattered words of 500: linked by 5-grams at 80 %, not by 4-grams at 85 %."""
+    import corpus_pipeline
+
+    base = [f"w{n}" for n in range(500)]
+    near = [f"x{n}" if n % 45 == 20 else word for n, word in enumerate(base)]
+    other = [f"y{n}" if n % 25 == 20 else word for n, word in enumerate(base)]
+    texts = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(other)), (4, None)]
+    rows = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert {r.doc_id for r in keep_one(rows).collect()} == {1, 2, 3, 4}
+    kept = corpus_pipeline.near_duplicates(spark, rows, "").collect()
+    assert {r.doc_id for r in kept} == {1, 3, 4}
+
+
 def test_decontamination(spark, docs):
     texts = [r.text for r in docs.where("doc_id = 7").collect()]
     quoted = " ".join(texts[0].split()[100:115])
