@@ -278,7 +278,8 @@ def find_personal_data(
     (parts of an ip at most 255; cards of 14 to 19 digits that pass Luhn's check; phones of
     10 to 15 digits); a match that is not valid is dropped and not tried again. All spans
     are these and the looser candidates that the classifier keeps and that overlap no base
-    span. ``clean_text`` has each kind's name in brackets for base spans of that kind.
+    span. ``clean_text`` has each span's kind in brackets in its place; of spans that overlap,
+    the first names the whole.
 
     A null text counts as empty but stays null in ``clean_text``. Rows that repeat get the
     same spans; ids play no part; an empty table stays empty. Very long texts are searched
@@ -299,23 +300,36 @@ def find_personal_data(
         & ~F.exists("_base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])),
     )
     found = found.withColumn("_added", added)
-    cleaned = body
-    for kind in BASE:
-        cleaned = _blanked(cleaned, kind)
+    found = found.withColumn("_all", _ordered(F.concat("_base", "_added")))
     return found.select(
         *packed.back(made),
         _ordered(F.col("_base")).alias("base_spans"),
-        _ordered(F.concat("_base", "_added")).alias("all_spans"),
-        cleaned.alias("clean_text"),
+        F.col("_all").alias("all_spans"),
+        _blanked(body, F.col("_all")).alias("clean_text"),
     )
 
 
-def _blanked(text: Column, kind: str) -> Column:
-    """The text with the bodies of base spans of a kind replaced."""
-    held = F.filter("_base", lambda s: s["kind"] == kind)
-    bodies = F.array_distinct(F.transform(held, lambda s: s["body"]))
-    replaced = F.aggregate(bodies, text, lambda t, b: F.replace(t, b, F.lit(f"[{kind}]")))
-    return F.when(F.size(held) > 0, replaced).otherwise(text)
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with spans, which come in order, replaced by the names of their kinds."""
+
+    def between(start: Column, stop: Column) -> Column:
+        return F.substr(text, (start + 1).cast("int"), (stop - start).cast("int"))
+
+    def step(done, span):
+        added = F.concat(done["text"], between(done["at"], span["start"]), F.lit("["), span["kind"], F.lit("]"))
+        return F.struct(
+            F.greatest(done["at"], span["stop"]).alias("at"),
+            F.when(span["start"] >= done["at"], added).otherwise(done["text"]).alias("text"),
+        )
+
+    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("text"))
+    replaced = F.aggregate(
+        spans,
+        first,
+        step,
+        lambda done: F.concat(done["text"], between(done["at"], F.length(text).cast("bigint"))),
+    )
+    return F.when(F.size(spans) > 0, replaced).otherwise(text)
 
 
 def _ordered(spans: Column) -> Column:

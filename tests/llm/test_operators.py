@@ -264,6 +264,17 @@ def test_personal_data(spark, docs):
     assert all(not found[k].base_spans for k in (1, 3, None, 5))
 
 
+def test_clean_text_without_loose_spans(spark):
+    text = "é a.b@c.org, joe [at] site.org; api_key=ABCDEFGH12345678 b a.b@c.org"
+    rows = spark.createDataFrame([(1, text), (2, None), (3, "plain")], "doc_id bigint, text string")
+    found = find_personal_data(rows, SpanClassifier(1.0, {})).collect()
+    assert {r.doc_id: r.clean_text for r in found} == {
+        1: "é [email], [at_mail]; [secret] b [email]",
+        2: None,
+        3: "plain",
+    }
+
+
 def test_toxicity(spark, docs):
     rows = [(i, f"this is {'awful stuff' if i % 3 == 0 else 'fine weather'} {i}", "", "", "") for i in range(300)]
     many = spark.createDataFrame(rows, SCHEMA).unionByName(docs)
