@@ -275,6 +275,16 @@ def test_clean_text_without_loose_spans(spark):
     }
 
 
+def test_names_of_secrets(spark):
+    """Long names, names with digits, and names in quotes."""
+    value = "ABCDEFGH12345678"
+    names = ["aws_secret_access_key=", "api_key2=", '"password": "', "token: ", "12345:"]
+    rows = spark.createDataFrame([(i, n + value) for i, n in enumerate(names)], "doc_id bigint, text string")
+    found = find_personal_data(rows, SpanClassifier(1.0, {})).collect()
+    stops = {r.doc_id: [s.stop for s in r.all_spans if s.kind == "secret"] for r in found}
+    assert stops == {i: [len(n) + len(value)] if i < 4 else [] for i, n in enumerate(names)}
+
+
 def test_toxicity(spark, docs):
     rows = [(i, f"this is {'awful stuff' if i % 3 == 0 else 'fine weather'} {i}", "", "", "") for i in range(300)]
     many = spark.createDataFrame(rows, SCHEMA).unionByName(docs)
