@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barweave.llm.common import literal_rows, runs_of, table
 from barweave.llm.decontamination import decontaminate
+from barweave.llm.manifest import PROOF, merkle_manifest
 from barweave.llm.mixing import measure, mix
 from barweave.llm.near_join import near_classes
 from barweave.llm.personal_data import (
@@ -310,3 +311,73 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     done = apply_edits(trees.withColumn("edits", edits), vocabulary_file())
     return done.select("doc_id", "n_before", "n_edits", "n_recoded", F.col("n_tokens").alias("n_after"))
+
+
+# --- 12: Merkle manifest ---------------------------------------------------------------
+
+
+def _leaf_sql(n_chars: str) -> str:
+    values = ("doc_id", "source", "lang", n_chars, "text")
+    parts = (
+        f"coalesce(strlen(({v})::varchar) || ':' || ({v})::varchar, '-')" for v in values
+    )
+    return f"sha256({' || '.join(parts)})"
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: ord(c)::ubigint)"
+    bit = "case when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end"
+    byte = f"list_reduce(list_prepend(xor(c, b), repeat([0::ubigint], 8)), lambda x, y: {bit})"
+    return f"xor(list_reduce(list_prepend(4294967295::ubigint, {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+_MANIFEST_SQL = f"""with recursive leaves as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as place,
+    row_number() over () as row
+  from (select doc_id, n_chars, coalesce('+' || lang, '') as tree, {_leaf_sql("n_chars")} as leaf,
+    {_leaf_sql("n_chars + 1")} as changed from documents)),
+nodes as (
+  select tree, 0 as level, place, leaf as hash, count(*) over (partition by tree) as n from leaves
+  union all
+  select tree, level + 1, place // 2, sha256(string_agg(hash, '' order by place)), (max(n) + 1) // 2
+  from nodes where n > 1 group by tree, level, place // 2),
+subroots as (select tree, hash, row_number() over (order by tree) - 1 as place
+  from nodes where n = 1),
+roofs as (
+  select 0 as level, place, hash, count(*) over () as n from subroots
+  union all
+  select level + 1, place // 2, sha256(string_agg(hash, '' order by place)), (max(n) + 1) // 2
+  from roofs where n > 1 group by level, place // 2),
+steps as (
+  select row, x.level, x.place % 2 as side, y.hash as sibling
+  from leaves join nodes x on x.tree = leaves.tree and x.place = leaves.place >> x.level and x.n > 1
+  left join nodes y on y.tree = x.tree and y.level = x.level and y.place = xor(x.place, 1)
+  union all
+  select row, 1000 + x.level, x.place % 2, y.hash
+  from leaves join subroots s on s.tree = leaves.tree
+  join roofs x on x.place = s.place >> x.level and x.n > 1
+  left join roofs y on y.level = x.level and y.place = xor(x.place, 1)),
+paths as (
+  select row, list(side || coalesce(sibling, '') order by level) as path,
+    coalesce(string_agg(sibling, '' order by level), '') as proof
+  from steps group by row),
+folded as (
+  select doc_id, leaf, subroots.hash as subroot, (select hash from roofs where n = 1) as root,
+    sha256(coalesce(proof, '')) as proof_sha256,
+    list_reduce(list_prepend(
+      case when {_crc32_sql("doc_id::varchar")} % 7 = 0 and n_chars is not null then changed else leaf end,
+      coalesce(path, [])), lambda node, p:
+      case when p[1] = '1' then sha256(p[2:] || node) else sha256(node || p[2:]) end) as folded_root
+  from leaves left join paths using (row) join subroots using (tree))
+select *, folded_root = root as verified from folded"""
+
+
+@registered(_MANIFEST_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof; every seventh or so is tampered with before it is checked."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(38,0)") + 1
+    tampered = F.when(chosen, more).otherwise(F.col("n_chars").cast("decimal(38,0)"))
+    return merkle_manifest(docs, tampered={"n_chars": tampered}).select(*PROOF)
