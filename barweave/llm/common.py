@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,6 +98,67 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, however often ``body`` names it.
+
+    Inside higher-order functions nothing else keeps an expression from being evaluated for
+    every element and every mention.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Elements of an array that are folded at a time, so that no long array is copied per element.
+CHUNK = 256
+
+
+def folded_before(values: Column, first: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """What ``join`` makes of ``first`` and the elements before each one; an array as long.
+
+    ``join`` must be associative, and ``first`` leave values as they are. Folds run over chunks and
+    inside each, so the work grows with the length and hardly with its square.
+    """
+
+    def running(some: Column, start: Column) -> Column:
+        """``start`` and what it becomes with each value but the last."""
+        return F.aggregate(
+            F.slice(some, 1, F.size(some) - 1),
+            F.array(start),
+            lambda done, v: F.concat(done, F.array(join(F.element_at(done, -1), v))),
+        )
+
+    def in_chunks(all_: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / CHUNK).cast("int"))
+        return F.transform(chunks, lambda c: F.slice(all_, c * CHUNK + 1, CHUNK))
+
+    def total(some: Column) -> Column:
+        return F.aggregate(some, first, lambda a, v: join(a, v))
+
+    def folded(cut: Column) -> Column:
+        return F.flatten(F.zip_with(cut, let(F.transform(cut, total), lambda t: running(t, first)), running))
+
+    return let(
+        values, lambda all_: F.when(F.size(all_) > 0, let(in_chunks(all_), folded)).otherwise(all_)
+    )
+
+
+#: Characters of a block that a piece of a text is cut from.
+BLOCK_CHARS = 1024
+
+
+def blocks_of(text: Column) -> Column:
+    """A text in blocks of 1,024 code points, for :func:`piece_of`."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+
+
+def piece_of(blocks: Column, start: Column, stop: Column) -> Column:
+    """Code points ``start`` to ``stop`` of a text in blocks, without counting from its start."""
+    first = F.floor(start / BLOCK_CHARS).cast("int")
+    last = F.floor((stop - 1) / BLOCK_CHARS).cast("int")
+    near = F.array_join(F.slice(blocks, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+    piece = F.substr(near, (start - first * BLOCK_CHARS + 1).cast("int"), (stop - start).cast("int"))
+    return F.when(stop > start, piece).otherwise(F.lit(""))
+
+
 def runs_of(text: str, pattern: str) -> Column:
     """Array of ``start`` and ``stop`` of all matches in a text column, in code points."""
     pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))

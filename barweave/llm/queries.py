@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barweave.llm import secrets
 from barweave.llm.common import literal_rows, runs_of, table
 from barweave.llm.decontamination import decontaminate
 from barweave.llm.manifest import PROOF, merkle_manifest
@@ -381,3 +382,20 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = F.col("n_chars").cast("decimal(38,0)") + 1
     tampered = F.when(chosen, more).otherwise(F.col("n_chars").cast("decimal(38,0)"))
     return merkle_manifest(docs, tampered={"n_chars": tampered}).select(*PROOF)
+
+
+# --- 13: secrets -----------------------------------------------------------------------
+
+
+@registered()
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with counts and places of the secrets in it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.learn_levels(docs))
+    counts = [count_of(F.col("base_spans"), kind).alias(f"n_{kind}") for kind in secrets.BASE]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(spans_text(F.col("base_spans")), 256).alias("base_sha256"),
+        spans_text(F.col("all_spans")).alias("spans"),
+    )
