@@ -246,6 +246,23 @@ def _reduced(first: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         rounds.append(materialize(_arrays(rest, rest)))
 
 
+def _seats(fields: Sequence[str]) -> Column:
+    """The slots of an array row with ``place`` and whole ``path``, and ``fields`` of the slots.
+
+    Made before slots become rows, so that no array is copied for each of its slots.
+    """
+
+    def seat(s: Column) -> Column:
+        own = [s[f].alias(f) for f in fields]
+        return F.struct(
+            (F.shiftleft("array", SLOT_BITS) + s["slot"]).alias("place"),
+            F.concat(_path(F.col("levels"), s["slot"]), F.col("path")).alias("path"),
+            *own,
+        )
+
+    return F.transform("slots", seat)
+
+
 def _descended(rounds: list[DataFrame], above: DataFrame) -> DataFrame:
     """``tree``, ``array`` and ``path`` to the root for the arrays of leaves.
 
@@ -257,16 +274,10 @@ def _descended(rounds: list[DataFrame], above: DataFrame) -> DataFrame:
         here = top if paths is None else top.unionByName(paths)
         if arrays is rounds[0]:
             return here
-        paths = (
-            arrays.select("tree", "array", "levels", F.explode("slots.slot").alias("slot"))
-            .join(here, ["tree", "array"])
-            .select(
-                "tree",
-                (F.shiftleft("array", SLOT_BITS) + F.col("slot")).alias("array"),
-                F.concat(_path(F.col("levels"), F.col("slot")), F.col("path")).alias("path"),
-            )
+        below = arrays.join(here.hint("merge"), ["tree", "array"]).select(
+            "tree", F.explode(_seats([])).alias("s")
         )
-        paths = materialize(paths)
+        paths = materialize(below.select("tree", F.col("s.place").alias("array"), "s.path"))
 
 
 PROOF = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -324,29 +335,25 @@ def merkle_manifest(
             upper[0]
             .withColumnRenamed("tree", "_all")
             .join(roofs.withColumnRenamed("tree", "_all"), ["_all", "array"])
-            .select("levels", "path", F.explode("slots").alias("s"))
-            .select(
-                F.col("s.of").alias("tree"),
-                F.col("s.hash").alias("subroot"),
-                F.concat(_path(F.col("levels"), F.col("s.slot")), F.col("path")).alias("path"),
-            )
+            .select(F.explode(_seats(["of", "hash"])).alias("s"))
+            .select(F.col("s.of").alias("tree"), F.col("s.hash").alias("subroot"), "s.path")
             .withColumn("root", root.scalar())
         )
         paths = _descended(rounds, above.select("tree", "path"))
     shared = paths.join(above.drop("path"), "tree")
     leaf_rows = (
-        first.join(shared, ["tree", "array"])
-        .select("tree", "array", "subroot", "root", "levels", "path", F.explode("slots").alias("s"))
+        first.join(shared.hint("merge"), ["tree", "array"])
+        .select("tree", "subroot", "root", F.explode(_seats(["doc_id", "hash", "changed"])).alias("s"))
         .select(
-            F.col("s.doc_id").alias("doc_id"),
+            "tree",
             F.expr("substring(tree, 2)").alias("_name"),
-            F.col("tree"),
-            (F.shiftleft("array", SLOT_BITS) + F.col("s.slot")).alias("place"),
-            F.col("s.hash").alias("leaf"),
-            F.coalesce("s.changed", "s.hash").alias("_start"),
             "subroot",
             "root",
-            F.concat(_path(F.col("levels"), F.col("s.slot")), F.col("path")).alias("path"),
+            "s.doc_id",
+            "s.place",
+            F.col("s.hash").alias("leaf"),
+            F.coalesce("s.changed", "s.hash").alias("_start"),
+            "s.path",
         )
     )
     folded = leaf_rows.withColumn("folded_root", fold(F.col("_start"), F.col("path")))
