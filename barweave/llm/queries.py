@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barweave.llm import secrets
+from barweave.llm.alignment import MADE, align_tokenizers
 from barweave.llm.common import literal_rows, runs_of, table
 from barweave.llm.decontamination import decontaminate
 from barweave.llm.manifest import PROOF, merkle_manifest
@@ -399,3 +400,19 @@ def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(spans_text(F.col("base_spans")), 256).alias("base_sha256"),
         spans_text(F.col("all_spans")).alias("spans"),
     )
+
+
+# --- 11: alignment of two tokenizers ----------------------------------------------------
+
+
+@registered()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two vocabularies, how they overlap, and how usual that is."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    return align_tokenizers(docs, *files).select(
+        "doc_id", *MADE[:-1], digest.alias("groups_sha256")
+    )
