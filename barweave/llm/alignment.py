@@ -61,14 +61,16 @@ def _count_task(path_a: str, path_b: str):
 
         for batch in slices(batches, 0):
             both.trim()
-            rows = []
-            for number, pieces in enumerate(both.read(text_bytes(batch.column(0)))):
-                own = [both.pieces[p] for p in set(pieces)]
-                if own and None not in own:
-                    keys = np.unique(np.concatenate([p.links for p in own]))
-                    rows.append(keys)
-            if rows:
-                held.append(np.unique(np.concatenate(rows), return_counts=True))
+            found = both.read(text_bytes(batch.column(0)))
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            if sizes.sum():
+                pieces = np.fromiter((p for own in found for p in own), np.int64, int(sizes.sum()))
+                row = np.repeat(np.arange(len(found)), sizes)
+                # A row's piece, then a row's pair, counts once.
+                own = np.unique((row << 32) | pieces)
+                links, counts = both.gathered(own & 0xFFFFFFFF)
+                pairs = np.unique((np.repeat(own >> 32, counts) << 42) | links)
+                held.append(np.unique(pairs & ((1 << 42) - 1), return_counts=True))
             if sum(len(k) for k, _ in held) > HELD_PAIRS:
                 held = [merged()]
                 if len(held[0][0]) > HELD_PAIRS // 2:
@@ -208,14 +210,17 @@ def highest(keys, counts, shift: int):
     return counts == most[which]
 
 
-def _fields(docs: DataFrame, at: int) -> list:
-    return [f for i, f in enumerate(docs.schema.fields) if i != at]
+def _sums(values, sizes):
+    """Sums of runs of values, of these sizes each."""
+    import numpy as np
 
+    ends = np.concatenate([[0], np.cumsum(values)])
+    stops = np.cumsum(sizes)
+    return ends[stops] - ends[stops - sizes]
 
-def _describe(both, texts):
-    """Per text: numbers of its pieces, or none if its tokens do not give it back."""
-    for pieces in both.read(texts):
-        yield pieces if pieces and all(both.pieces[p] is not None for p in pieces) else []
+
+def _fields(docs: DataFrame, at: int) -> list:
+    return [f for i, f in enumerate(docs.schema.fields) if i != at]
 
 
 def align_tokenizers(
@@ -255,30 +260,31 @@ def align_tokenizers(
         import numpy as np
         import pyarrow as pa
 
-        from barweave.llm.two_tokenizers import aligner
+        from barweave.llm.two_tokenizers import Growing, aligner
         from barweave.llm.wordhash import slices, text_bytes
 
-        both, known, generation = aligner(path_a, path_b), {}, None
+        both, generation = aligner(path_a, path_b), None
         for batch in slices(batches, at):
             both.trim()
             if both.generation != generation:
-                known, generation = {}, both.generation
-            found = list(_describe(both, text_bytes(batch.column(at))))
-            new = sorted({p for pieces in found for p in pieces if p not in known})
-            if new:
-                links = [both.pieces[p].links for p in new]
-                keys, which = np.unique(np.concatenate(links), return_inverse=True)
-                counts, best = sent.value.values(keys, segments_of(keys >> shift, n_segments))
-                starts = np.cumsum([0, *map(len, links)])[:-1]
-                sums = np.add.reduceat(counts[which], starts).tolist()
-                highs = np.add.reduceat(best[which].astype(np.int64), starts).tolist()
-                for p, total, high in zip(new, sums, highs):
-                    own = both.pieces[p]
-                    known[p] = (own.a, own.b, own.n_groups, len(own.links), high, total)
-            totals = [tuple(map(sum, zip(*(known[p] for p in pieces)))) or (0,) * 6 for pieces in found]
-            groups = [";".join([both.pieces[p].groups for p in pieces]) for pieces in found]
+                generation, valued = both.generation, 0
+                sums, highs = Growing(), Growing()
+            found = both.read(text_bytes(batch.column(at)))
+            # Values of the pieces that are new since the last slice.
+            new = np.arange(valued, len(both.groups))
+            valued = len(both.groups)
+            if len(new):
+                links, counts = both.gathered(new)
+                keys, which = np.unique(links, return_inverse=True)
+                n, best = sent.value.values(keys, segments_of(keys >> shift, n_segments))
+                sums.extend(_sums(n[which], counts))
+                highs.extend(_sums(best[which].astype(np.int64), counts))
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            pieces = np.fromiter((p for own in found for p in own), np.int64, int(sizes.sum()))
+            totals = [_sums(made.data[pieces], sizes) for made in (*both.counts[:4], highs, sums)]
+            groups = [";".join([both.groups[p] for p in own]) for own in found]
             columns = [batch.column(i) for i in range(batch.num_columns) if i != at]
-            columns += [pa.array(c, pa.int64()) for c in (zip(*totals) if totals else [()] * 6)]
+            columns += [pa.array(c) for c in totals]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(groups, pa.string())], [*names, *MADE])
 
     added = [T.StructField(n, T.LongType()) for n in MADE[:-1]]
@@ -314,17 +320,19 @@ def _joined(rows: DataFrame, at: int, path_a: str, path_b: str, segments: DataFr
         both = aligner(path_a, path_b)
         for batch in slices(batches, at):
             both.trim()
-            totals, groups, keys, times = [], [], [], []
-            for pieces in _describe(both, text_bytes(batch.column(at))):
-                own = [both.pieces[p] for p in pieces]
-                links = np.concatenate([p.links for p in own]) if own else np.zeros(0, dtype=np.int64)
+            groups, keys, times = [], [], []
+            found = both.read(text_bytes(batch.column(at)))
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            pieces = np.fromiter((p for own in found for p in own), np.int64, int(sizes.sum()))
+            totals = [_sums(made.data[pieces], sizes) for made in both.counts[:4]]
+            for own in found:
+                links, _ = both.gathered(np.array(own, dtype=np.int64))
                 held = np.unique(links, return_counts=True)
-                totals.append((sum(p.a for p in own), sum(p.b for p in own), sum(p.n_groups for p in own), len(links)))
-                groups.append(";".join(p.groups for p in own))
+                groups.append(";".join([both.groups[p] for p in own]))
                 keys.append(held[0])
                 times.append(held[1])
             columns = [batch.column(i) for i in range(batch.num_columns) if i != at]
-            columns += [pa.array(c, pa.int64()) for c in zip(*totals)]
+            columns += [pa.array(c) for c in totals]
             columns += [pa.array(groups, pa.string())]
             columns += [pa.array(c, pa.list_(pa.int64())) for c in (keys, times)]
             yield pa.RecordBatch.from_arrays(columns, [*names, "n_a", "n_b", "n_groups", "n_links", "groups", "keys", "times"])

@@ -20,7 +20,14 @@ CACHED_BYTES = 32 << 20
 #: Bytes after a blank that do not begin a white-space character, in ASCII or beyond.
 CUT = re.compile(rb"(?<=[^ ])(?= [!-~\xc3-\xdf\xe4-\xf4])")
 MARK = "▁".encode()
-NOTHING = np.zeros(0, dtype=np.int64)
+#: Pieces on whose characters all libraries agree: ASCII that is visible, Latin letters with marks.
+PLAIN = re.compile(rb" (?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# Fixed value: how byte-level vocabularies split a text before they merge.
+SPLITS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -31,39 +38,49 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class Piece:
-    """Ids of a piece by both, and what their places have in common."""
-
-    __slots__ = ("a", "b", "groups", "n_groups", "links")
-
-    def __init__(self, a, b, sizes_a, sizes_b, shift: int):
-        self.a, self.b = len(a), len(b)
-        groups, links = [], []
-        i = j = first_i = first_j = 0
-        end_a, end_b = sizes_a[a[0]], sizes_b[b[0]]
-        while True:
-            links.append((a[i] << shift) | b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a and step_b:
-                of_a, of_b = a[first_i : i + 1], b[first_j : j + 1]
-                groups.append(",".join(map(str, of_a)) + "|" + ",".join(map(str, of_b)))
-                first_i, first_j = i + 1, j + 1
-                if first_i == len(a) or first_j == len(b):
-                    break
-            if step_a:
-                i += 1
-            if step_b:
-                j += 1
-            if step_a:
-                end_a += sizes_a[a[i]]
-            if step_b:
-                end_b += sizes_b[b[j]]
-        self.groups, self.n_groups = ";".join(groups), len(groups)
-        self.links = np.array(links, dtype=np.int64)
+def _flat(lists) -> np.ndarray:
+    return np.fromiter((i for some in lists for i in some), dtype=np.int64)
+
+
+class Numerals:
+    """Decimal numerals of 0, 1, ... n - 1 as bytes in one array."""
+
+    def __init__(self, n: int):
+        shown = [b"%d" % i for i in range(n)]
+        self.data = np.frombuffer(b"".join(shown), dtype=np.uint8)
+        self.sizes = np.fromiter(map(len, shown), dtype=np.int64, count=n)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, ids: np.ndarray, marks: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Numerals, a mark behind each, and where each ends with its mark."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes + 1)
+        out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
+        out[ends - 1] = marks
+        inner = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out[np.repeat(ends - 1 - sizes, sizes) + inner] = self.data[np.repeat(self.starts[ids], sizes) + inner]
+        return out.tobytes(), ends
+
+
+class Growing:
+    """A numpy array that is appended to."""
+
+    def __init__(self):
+        self.data, self.used = np.zeros(1 << 12, dtype=np.int64), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        while self.used + len(values) > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
+        self.data[self.used : self.used + len(values)] = values
+        self.used += len(values)
 
 
 class Aligner:
-    """Pieces by number; numbers hold until :meth:`trim` forgets all."""
+    """Pieces by number; numbers hold until :meth:`trim` forgets all.
+
+    New pieces are aligned together: with the ends of the tokens of both sides in order, every
+    stretch between two neighbouring ends is one link, and every end of both one group.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -83,7 +100,8 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
-        self.sizes_a, self.sizes_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
+        self.sizes_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
+        self.sizes_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
         #: A pair of ids is one number, the second in the lower bits.
         self.shift = len(pieces).bit_length()
         if self.shift + len(self.bytes_a).bit_length() > 42:
@@ -95,23 +113,43 @@ class Aligner:
         plain = plain and splitter.get("use_regex", True) and not splitter.get("add_prefix_space")
         crossing = any(re.search("[^▁]▁", p) for p in pieces)
         self.cuts = bool(plain) and not crossing
+        self.fast = self._fast(told) if self.cuts else None
+        self.numerals = Numerals(max(len(self.bytes_a), len(self.bytes_b)))
+        self.pool_a, self.starts_a = np.frombuffer(b"".join(self.bytes_a), np.uint8), _starts(self.sizes_a)
+        self.pool_b, self.starts_b = np.frombuffer(b"".join(self.bytes_b), np.uint8), _starts(self.sizes_b)
+        self.generation = 0
         self._forget()
 
+    def _fast(self, told: dict):
+        """The same vocabulary in a library that is faster, if ids are the order of the merges."""
+        import tiktoken
+
+        merges = [m if isinstance(m, list) else m.split(" ") for m in told["model"]["merges"]]
+        known = told["model"]["vocab"]
+        ordered = all(known.get("".join(m)) == 256 + i for i, m in enumerate(merges))
+        if not ordered or told["model"].get("ignore_merges"):
+            return None
+        ranks = {self.bytes_a[i]: i for i in range(256 + len(merges))}
+        return tiktoken.Encoding("pieces", pat_str=SPLITS, mergeable_ranks=ranks, special_tokens={})
+
     def _forget(self) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.pieces: list[Piece | None] = []
+        #: By piece: tokens of both, groups, links, and if the tokens give the piece back.
+        self.counts = [Growing() for _ in range(5)]
+        self.groups: list[str] = []
+        #: All links of all pieces, and where each piece's begin.
+        self.links, self.first_link = Growing(), Growing()
+        self.broken: set[int] = set()
         self.held = 0
-        self.generation = getattr(self, "generation", 0) + 1
+        self.generation += 1
 
     def trim(self) -> None:
         if len(self.numbers) > CACHED_PIECES or self.held > CACHED_BYTES:
             self._forget()
 
     def read(self, texts: list[bytes | None]) -> list[list[int]]:
-        """Numbers of each text's pieces, in order; none for a text that is null or empty.
-
-        A piece is None in :attr:`pieces` where the tokens do not give its bytes back.
-        """
+        """Numbers of each text's pieces, in order; none for a text that is null or empty, or that
+        the tokens of one side do not give back."""
         out, new = [], []
         known = self.numbers
         for text in texts:
@@ -122,23 +160,106 @@ class Aligner:
             pieces = [b" " + text] if whole else CUT.split(b" " + text)
             for piece in pieces:
                 if piece not in known:
-                    known[piece] = len(self.pieces) + len(new)
+                    known[piece] = len(self.groups) + len(new)
                     new.append(piece)
             out.append([known[p] for p in pieces])
         if new:
             self._learn(new)
+        if self.broken:
+            return [[] if any(p in self.broken for p in pieces) else pieces for pieces in out]
         return out
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _encoded(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids by both tokenizers, and how many each piece has."""
         texts = [p.decode() for p in new]
-        found_a = self.a.encode_batch(texts, add_special_tokens=False)
         found_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        for piece, a, b in zip(new, found_a, found_b):
-            a = a.ids
-            same = b"".join([self.bytes_a[i] for i in a]) == piece
-            same = same and b"".join([self.bytes_b[i] for i in b]) == piece
-            self.pieces.append(Piece(a, b, self.sizes_a, self.sizes_b, self.shift) if same else None)
-            self.held += len(piece)
+        ids_a: list[list[int]] = [[]] * len(new)
+        plain = [i for i, p in enumerate(new) if self.fast is not None and PLAIN.fullmatch(p)]
+        if plain:
+            ids = self.fast.encode_ordinary("".join([texts[i] for i in plain]))
+            ends = np.cumsum(self.sizes_a[np.array(ids)])
+            cuts = np.searchsorted(ends, np.cumsum([len(new[i]) for i in plain]), side="right").tolist()
+            for i, begin, end in zip(plain, [0, *cuts], cuts):
+                ids_a[i] = ids[begin:end]
+        rest = [i for i, ids in enumerate(ids_a) if not ids]
+        for i, found in zip(rest, self.a.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
+            ids_a[i] = found.ids
+        counts = [np.fromiter(map(len, ids), np.int64, len(new)) for ids in (ids_a, found_b)]
+        return _flat(ids_a), counts[0], _flat(found_b), counts[1]
+
+    def _learn(self, new: list[bytes]) -> None:
+        ids_a, n_a, ids_b, n_b = self._encoded(new)
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        bytes_of = np.frombuffer(b"".join(new), np.uint8)
+        same = self._gives_back(ids_a, n_a, sizes, bytes_of, self.pool_a, self.starts_a, self.sizes_a)
+        same &= self._gives_back(ids_b, n_b, sizes, bytes_of, self.pool_b, self.starts_b, self.sizes_b)
+        if not same.all():
+            # Pieces that do not come back are left out: no tokens, links or groups.
+            ids_a, ids_b = ids_a[np.repeat(same, n_a)], ids_b[np.repeat(same, n_b)]
+            self.broken |= {len(self.groups) + int(i) for i in np.flatnonzero(~same)}
+            n_a, n_b, sizes = n_a * same, n_b * same, sizes * same
+        ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        steps = np.union1d(ends_a, ends_b)
+        piece_ends = np.cumsum(sizes)
+
+        def per_piece(ends: np.ndarray) -> np.ndarray:
+            """How many of these ends each piece has."""
+            return np.diff(np.searchsorted(ends, piece_ends, side="right"), prepend=0)
+
+        links = (ids_a[np.searchsorted(ends_a, steps)] << self.shift) | ids_b[np.searchsorted(ends_b, steps)]
+        n_links = per_piece(steps)
+        begin = self.links.used
+        self.links.extend(links)
+        self.first_link.extend(begin + np.cumsum(n_links) - n_links)
+        for made, values in zip(self.counts, (n_a, n_b, per_piece(common), n_links, same.astype(np.int64))):
+            made.extend(values)
+        self.groups += self._shown(ids_a, ends_a, ids_b, ends_b, common, n_a + n_b)
+        self.held += len(bytes_of)
+
+    @staticmethod
+    def _gives_back(ids, counts, sizes, expected, pool, starts, lengths) -> np.ndarray:
+        """For each piece, if its tokens' bytes are the piece."""
+        each = lengths[ids]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        made_ends = ends[np.cumsum(counts)]
+        same_size = np.diff(made_ends, prepend=0) == sizes
+        inner = np.arange(int(ends[-1])) - np.repeat(ends[:-1], each)
+        made = pool[np.repeat(starts[ids], each) + inner]
+        if same_size.all():
+            differ = np.flatnonzero(made != expected)
+            same = np.ones(len(sizes), dtype=bool)
+            same[np.searchsorted(np.cumsum(sizes), differ, side="right")] = False
+            return same
+        stops = np.cumsum(sizes)
+        return np.array(
+            [
+                bool(ok) and np.array_equal(made[e - n : e], expected[s - n : s])
+                for ok, e, s, n in zip(same_size, made_ends, stops, sizes)
+            ]
+        )
+
+    def _shown(self, ids_a, ends_a, ids_b, ends_b, common, n_tokens) -> list[str]:
+        """Groups of each piece: ids of one side, a bar, ids of the other, a semicolon between."""
+        of_a, of_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        at_a = np.arange(len(ids_a)) + np.searchsorted(of_b, of_a, side="left")
+        at_b = np.arange(len(ids_b)) + np.searchsorted(of_a, of_b, side="right")
+        ids = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
+        ids[at_a], ids[at_b] = ids_a, ids_b
+        marks = np.full(len(ids), ord(","), dtype=np.uint8)
+        marks[at_a[np.isin(ends_a, common, assume_unique=True)]] = ord("|")
+        marks[at_b[np.isin(ends_b, common, assume_unique=True)]] = ord(";")
+        text, ends = self.numerals.joined(ids, marks)
+        shown = text.decode("ascii")
+        stops = np.concatenate([[0], ends])[np.cumsum(n_tokens)].tolist()
+        return [shown[a : max(a, b - 1)] for a, b in zip([0, *stops], stops)]
+
+    def gathered(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links of these pieces in order, and how many each has."""
+        counts = self.counts[3].data[pieces]
+        ends = np.cumsum(counts)
+        inner = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
+        return self.links.data[np.repeat(self.first_link.data[pieces], counts) + inner], counts
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}

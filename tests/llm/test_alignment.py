@@ -114,11 +114,11 @@ def test_pieces_are_as_whole_texts(library, texts):
     both = two_tokenizers.aligner(*FILES)
     assert both.cuts
     for text, pieces in zip(strings, both.read([s.encode() for s in strings])):
-        own = [both.pieces[p] for p in pieces]
         expected = tokens(text, library)
-        assert (None in own) == (expected is None), text
+        assert bool(pieces) == (expected is not None), text
         if expected is not None:
-            ids = [side.split(",") for p in own for g in p.groups.split(";") for side in g.split("|")]
+            groups = ";".join(both.groups[p] for p in pieces)
+            ids = [side.split(",") for g in groups.split(";") for side in g.split("|")]
             assert [int(i) for side in ids[0::2] for i in side] == [i for i, *_ in expected[0]], text
             assert [int(i) for side in ids[1::2] for i in side] == [i for i, *_ in expected[1]], text
 
