@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from barweave.checked.views import (
     sql_calendar,
 )
 from barweave.operators.bars import bars
-from barweave.operators.candles import contract_candles, index_candles
+from barweave.operators.candles import contract_candles, in_range, index_candles
 from barweave.operators.keys import new_dimension_rows
 from barweave.operators.labels import label_expiry
 from barweave.operators.lookups import (
@@ -25,8 +27,10 @@ from barweave.operators.lookups import (
 )
 from barweave.operators.normalize import normalize_futures
 from barweave.operators.quality import duplicate_keys, null_counts, null_flags, orphans
+from barweave.operators.zones import zones_of
 from barweave.schemas import DERIVATIVE_DIM, DETAIL_DIM, DETAIL_KEYS, FUTURES, SCALES
-from barweave.session import materialize
+from barweave.session import materialize, shared_folder
+from barweave.sources.tables import write_partitions
 
 
 def _grown(existing: DataFrame, candidates: DataFrame, keys) -> DataFrame:
@@ -285,6 +289,31 @@ def candles_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_candles(index, history, "ASIA", 5, *_MONTH)
 
 
+_ONE_DAY = ("2024-01-10 00:00:00", "2024-01-10 23:59:59")
+# Archives of a day that also hold times of the two days after it.
+_LATE_TICKS = f"select *, cast(ts as date) - cast(seq % 3 as integer) as ds from ({EVENT_TICKS})"
+
+
+@checked(
+    f"""select cast(ds as varchar) as ds, contract, datetime, price_open as open, price_high as high,
+       price_low as low, price_close as close
+from ({sql_bars(_LATE_TICKS, ['ds', 'contract'], [5], volume=False)})
+where datetime between timestamp '{_ONE_DAY[0]}' and timestamp '{_ONE_DAY[1]}'"""
+)
+def candles_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's candles of a history at rest, of which only days that hold such times are read."""
+    late = F.date_sub(F.to_date("ts"), (F.col("seq") % 3).cast("int"))
+    ticks = event_ticks(spark, sf_dir).withColumn("ds", late)
+    facts = bars(ticks, ["ds", "contract"], [5], volume=None).withColumn("subject", F.lit("events"))
+    path = f"{shared_folder(spark)}/history-{uuid.uuid4()}"
+    write_partitions(facts, path, ("subject", "ds"), ("scale", "datetime"))
+    history = spark.read.schema(facts.schema).parquet(path)
+    zones = materialize(zones_of(history))
+    rows = in_range(history, 5, *_ONE_DAY, zones)
+    prices = [F.col(f"price_{name}").cast("double").alias(name) for name in ("open", "high", "low", "close")]
+    return rows.select("ds", "contract", "datetime", *prices)
+
+
 # --- checks ---------------------------------------------------------------------------------------
 
 _HOLED = """

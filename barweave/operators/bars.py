@@ -130,8 +130,13 @@ def _roll_up(
     scales: Sequence[int],
     has_volume: bool,
     first_tick: Sequence[str],
+    minutes: bool = False,
 ) -> DataFrame:
-    """Merge the states of each bar; exact sums leave bigint only here."""
+    """Merge the states of each bar; exact sums leave bigint only here.
+
+    With ``minutes`` a bar also has ``_minutes``, bitmaps of the minutes in it that have ticks:
+    64 minutes a word, the bar's first minute in the lowest bit.
+    """
     squares = (
         f"cast(cast(_hh as decimal(38,0)) * {1 << (2 * LIMB_BITS)}"
         f" + cast(_hl as decimal(38,0)) * {1 << (LIMB_BITS + 1)}"
@@ -157,7 +162,27 @@ def _roll_up(
     if has_volume:
         aggregates.append("sum(_volume) as volume")
     aggregates += [f"min_by(`_at_{name}`, {_rank('_first')}) as `{name}`" for name in first_tick]
-    return rows.groupBy(*keys, "scale", "_end").agg(*map(F.expr, aggregates))
+    words = range((max(scales) - 1) // 64 + 1) if minutes else ()
+    bit = "shiftleft(1L, cast((_position - 1) % 64 as int))"
+    aggregates += [
+        f"bit_or(if((_position - 1) div 64 = {w}, {bit}, 0L)) as _word{w}" for w in words
+    ]
+    rolled = rows.groupBy(*keys, "scale", "_end").agg(*map(F.expr, aggregates))
+    if not minutes:
+        return rolled
+    names = [f"_word{w}" for w in words]
+    return rolled.withColumn("_minutes", F.array(*names)).drop(*names)
+
+
+def bars_with_minutes(ticks: DataFrame, keys: Sequence[str], scales: Sequence[int]) -> DataFrame:
+    """Bars with ``minutes``: the ends of their minutes that have ticks, in microseconds."""
+    states = minute_states(ticks, keys)
+    rolled = _roll_up(states, keys, scales, True, (), minutes=True)
+    ends = F.expr(
+        f"""transform(filter(sequence(0, scale - 1), p -> bit_get(_minutes[p div 64], p % 64) = 1),
+        p -> _end - (scale - 1 - p) * {MICROS_PER_MINUTE}L)"""
+    )
+    return _finish(rolled.withColumn("minutes", ends), keys, "volume")
 
 
 def _finish(rolled: DataFrame, keys: Sequence[str], volume: str | None) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barweave.operators.zones import in_zones
+
 
 def _candle_columns() -> list[Column]:
     prices = ("open", "high", "low", "close")
@@ -14,14 +16,17 @@ def _candle_columns() -> list[Column]:
     ]
 
 
-def in_range(history: DataFrame, scale: int, start: str, end: str) -> DataFrame:
+def in_range(
+    history: DataFrame, scale: int, start: str, end: str, zones: DataFrame | None = None
+) -> DataFrame:
     """Rows of one scale with ``start <= datetime <= end``.
 
-    Rows are sorted by scale and time inside their files, so row groups prune both.
+    With a zone map only days whose times meet the range are read. Rows are sorted by scale
+    and time inside their files, so row groups prune both.
     """
-    return history.where(
-        (F.col("scale") == scale) & F.col("datetime").between(_instant(start), _instant(end))
-    )
+    first, last = _instant(start), _instant(end)
+    rows = history.where((F.col("scale") == scale) & F.col("datetime").between(first, last))
+    return rows if zones is None else in_zones(rows, zones, first, last)
 
 
 def _instant(text: str) -> Column:
@@ -29,11 +34,17 @@ def _instant(text: str) -> Column:
 
 
 def index_candles(
-    index: DataFrame, history: DataFrame, name: str, scale: int, start: str, end: str
+    index: DataFrame,
+    history: DataFrame,
+    name: str,
+    scale: int,
+    start: str,
+    end: str,
+    zones: DataFrame | None = None,
 ) -> DataFrame:
     """Open, high, low and close of an index in time order."""
     wanted = index.where(F.col("name") == name).select(F.col("id").alias("index_id"))
-    return in_range(history, scale, start, end).join(wanted, "index_id").select(
+    return in_range(history, scale, start, end, zones).join(wanted, "index_id").select(
         *_candle_columns()
     ).orderBy("datetime")
 
@@ -47,6 +58,7 @@ def contract_candles(
     scale: int,
     start: str,
     end: str,
+    zones: DataFrame | None = None,
 ) -> DataFrame:
     """Candles with volume of a derivative's contract with the given expiry code."""
     named = derivative.where(F.col("name") == name).select(F.col("id").alias("derivative_id"))
@@ -55,6 +67,6 @@ def contract_candles(
         .join(named, "derivative_id")
         .select(F.col("id").alias("derivative_detail_id"))
     )
-    return in_range(history, scale, start, end).join(wanted, "derivative_detail_id").select(
+    return in_range(history, scale, start, end, zones).join(wanted, "derivative_detail_id").select(
         *_candle_columns(), "volume"
     ).orderBy("datetime")

@@ -142,6 +142,27 @@ def _trade_time() -> Column:
     return exchange_time_to_utc(F.trim("date"), F.trim("time"), TRADE_TIME_FORMAT)
 
 
+def dropped_counts(
+    subject: str,
+    futures: Sequence[str] = FUTURES_CONTRACTS,
+    options: Sequence[str] = OPTIONS_CONTRACTS,
+) -> dict[str, Column]:
+    """By cause, how many raw records (or legs of spreads) a normalizer leaves out, as aggregates."""
+    contract = F.coalesce(F.trim("contract"), F.lit(""))
+    if subject == "index":
+        return {"no_clock_time": F.count_if(F.coalesce(clock_time(F.col("time")), F.lit("")) == "")}
+    if subject == "options":
+        return {"other_contract": F.count_if(~contract.isin(*options))}
+    if subject == "futures":
+        lacks = [to_price(F.col(c)).isNull().cast("int") for c in ("price", "near_price", "far_price")]
+        legs = F.when(is_spread(F.col("expire")), lacks[1] + lacks[2]).otherwise(lacks[0])
+        return {
+            "other_contract": F.count_if(~contract.isin(*futures)),
+            "legs_without_price": F.sum(F.when(contract.isin(*futures), legs).otherwise(0)),
+        }
+    return {}
+
+
 NORMALIZERS = {
     "index": normalize_index,
     "etf": normalize_etf,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -65,3 +66,45 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 def rejected_ticks(ticks: DataFrame) -> DataFrame:
     """Per subject and day: ticks whose time, price or volume could not be read."""
     return null_counts(ticks, ("ts", "price", "volume"), by=("subject", "ds"))
+
+
+class Counts:
+    """Named counts that a write makes as it goes, by observed metrics: no pass of their own.
+
+    ``on`` marks a place in a plan; ``values`` are there once an action on it has succeeded. The
+    action runs inside ``kept``: where no row is left, adaptive execution would otherwise cut the
+    marked places from the plan, and their counts with them.
+    """
+
+    RULES = "spark.sql.adaptive.optimizer.excludedRules"
+    EMPTY = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[Observation, list[str]]] = []
+
+    def on(self, df: DataFrame, **counts: Column) -> DataFrame:
+        seen = Observation()
+        self._seen.append((seen, list(counts)))
+        return df.observe(seen, *(column.cast("bigint").alias(n) for n, column in counts.items()))
+
+    @contextmanager
+    def kept(self, spark: SparkSession) -> Iterator[None]:
+        before = spark.conf.get(self.RULES, None)
+        spark.conf.set(self.RULES, f"{before},{self.EMPTY}" if before else self.EMPTY)
+        try:
+            yield
+        finally:
+            if before is None:
+                spark.conf.unset(self.RULES)
+            else:
+                spark.conf.set(self.RULES, before)
+
+    def values(self) -> dict[str, int]:
+        """Counts of nothing are 0."""
+        return {n: seen.get.get(n) or 0 for seen, names in self._seen for n in names}
+
+
+def tick_counts() -> dict[str, Column]:
+    """Ticks written, and those of them with an unreadable field."""
+    unreadable = {f"no_{c}": F.count_if(F.col(c).isNull()) for c in ("ts", "price", "volume")}
+    return {"written": F.count(F.lit(1)), **unreadable}

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barweave.functions.buckets import bar_end_micros, instant_micros, round_up_minutes
-from barweave.operators.bars import bars
+from barweave.functions.buckets import bar_end_micros, instant_micros
+from barweave.operators.bars import bars, bars_with_minutes
 from barweave.operators.keys import null_safe_match
 from barweave.schemas import SCALES
 
@@ -38,31 +38,18 @@ def tick_bar_stats(
 ) -> DataFrame:
     """Each tick once per scale, with its bar's statistics.
 
-    The statistics are brought to one row per (keys, minute) holding all scales, and the
-    ticks meet them there: the ticks cross the network once, not once per scale, and a
-    hot minute is a skewed join partition that adaptive execution can split. The minutes
-    are the one-minute bars: a second pass over keys and times only.
+    Bars carry a bitmap of their minutes that have ticks through the roll-up; exploded, it brings
+    the statistics to one row per (keys, minute) holding all scales, and the ticks meet them
+    there. The ticks are read once for the bars and once to meet them, cross the network once,
+    not once per scale, and a hot minute is a skewed join partition that adaptive
+    execution can split.
     """
     values = (*STATS, "volume")
-    per_bar = bars(ticks, keys, sorted({1, *scales}))
-    minutes = (
-        per_bar.where(F.col("scale") == 1)
-        .select(
-            *keys,
-            F.unix_micros("datetime").alias("_minute"),
-            F.explode(F.array(*map(F.lit, scales))).alias("scale"),
-        )
-        .withColumn("datetime", round_up_minutes(F.timestamp_micros("_minute"), F.col("scale")))
-    )
-    bar_struct = F.struct(
-        *(F.col(f"r.{c}").alias(c) for c in ("scale", "datetime")),
-        *(F.col(f"r.{c}").alias(f"bar_{c}") for c in values),
-    )
     minute_keys = (*keys, "_minute")
+    bar_struct = F.struct("scale", "datetime", *(F.col(c).alias(f"bar_{c}") for c in values))
     by_minute = (
-        minutes.alias("l")
-        .join(per_bar.alias("r"), null_safe_match((*keys, "scale", "datetime")))
-        .select(*(F.col(f"l.{c}") for c in minute_keys), bar_struct.alias("_bar"))
+        bars_with_minutes(ticks, keys, scales)
+        .select(*keys, F.explode("minutes").alias("_minute"), bar_struct.alias("_bar"))
         .groupBy(*minute_keys)
         .agg(F.collect_list("_bar").alias("_bars"))
     )

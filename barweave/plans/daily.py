@@ -19,8 +19,8 @@ from barweave.functions.clock import day_label
 from barweave.operators.bars import bars
 from barweave.operators.calendar import days_between, holiday_list, trading_days
 from barweave.operators.labels import label_expiry
-from barweave.operators.normalize import NORMALIZERS
-from barweave.operators.quality import DataQualityError, null_counts
+from barweave.operators.normalize import NORMALIZERS, dropped_counts
+from barweave.operators.quality import Counts, DataQualityError, null_counts, tick_counts
 from barweave.plans.layout import Layout
 from barweave.plans.warehouse import load_subject
 from barweave.schemas import BARS, SCALES, SUBJECTS, TICKS, Subject
@@ -43,13 +43,23 @@ def open_days(spark: SparkSession, layout: Layout, first: str, last: str) -> lis
 
 def ingest(
     spark: SparkSession, layout: Layout, subject: str, days: Sequence[str], charset: str = "utf-8"
-) -> None:
-    """Landed files to the tick table."""
+) -> dict[str, int]:
+    """Landed files to the tick table.
+
+    Returns what the write counted on its way: records read, left out by cause, ticks written and
+    those with an unreadable time, price or volume.
+    """
     reader = RAW_READERS[subject]
     if subject != "etf":
         reader = partial(reader, charset=charset)
-    ticks = NORMALIZERS[subject](reader(spark, layout.raw(subject), days))
-    write_partitions(conform(ticks, TICKS), layout.ticks, DAY_PARTITIONS, ("contract", "ts", "seq"))
+    counts = Counts()
+    raw = counts.on(
+        reader(spark, layout.raw(subject), days), read=F.count(F.lit(1)), **dropped_counts(subject)
+    )
+    ticks = counts.on(conform(NORMALIZERS[subject](raw), TICKS), **tick_counts())
+    with counts.kept(spark):
+        write_partitions(ticks, layout.ticks, DAY_PARTITIONS, ("contract", "ts", "seq"))
+    return counts.values()
 
 
 def staged_bars(ticks: DataFrame, subject: Subject, scales: Sequence[int] = SCALES) -> DataFrame:
@@ -101,6 +111,14 @@ def clear(spark: SparkSession, layout: Layout, subject: str, days: Sequence[str]
         drop_days(spark, path, subject, days)
 
 
+class Days(list):
+    """Days that have run, as a list, with ``counts`` of :func:`ingest` by subject."""
+
+    def __init__(self, days: Sequence[str] = (), counts: dict[str, dict[str, int]] | None = None):
+        super().__init__(days)
+        self.counts = counts or {}
+
+
 def run_days(
     spark: SparkSession,
     layout: Layout,
@@ -109,24 +127,25 @@ def run_days(
     subjects: Sequence[str] = tuple(SUBJECTS),
     charset: str = "utf-8",
     only: Sequence[str] | None = None,
-) -> list[str]:
-    """Run all trading days of a range, or those of ``only``; returns them.
+) -> Days:
+    """Run all trading days of a range, or those of ``only``; returns them with their counts.
 
     Subjects do not hold each other up: what can be read and passes the gate is loaded,
-    then everything else is raised as one error that names subjects, days and causes. Rows
+    then everything else is raised as one error that names subjects, days, causes and counts. Rows
     of earlier runs do not stay for a day that failed.
     """
     days = open_days(spark, layout, first, last)
     if only is not None:
         days = [day for day in days if day in set(only)]
     if not days:
-        return []
+        return Days()
+    counts: dict[str, dict[str, int]] = {}
     failed: dict[str, object] = {}
     cause = None
     for subject in subjects:
         try:
             clear(spark, layout, subject, days)
-            ingest(spark, layout, subject, days, charset)
+            counts[subject] = ingest(spark, layout, subject, days, charset)
             aggregate(spark, layout, subject, *(days[i].replace("_", "-") for i in (0, -1)))
             left_out = load(spark, layout, subject, days)
             if left_out:
@@ -135,9 +154,9 @@ def run_days(
             cause = cause or error
             failed[subject] = str(error).split("\n")[0]
     if failed:
-        raise DataQualityError(f"not loaded: {failed}") from cause
-    return days
+        raise DataQualityError(f"not loaded: {failed}; counts: {counts}") from cause
+    return Days(days, counts)
 
 
-def run_day(spark: SparkSession, layout: Layout, ds: str, **options) -> list[str]:
+def run_day(spark: SparkSession, layout: Layout, ds: str, **options) -> Days:
     return run_days(spark, layout, ds, ds, **options)

@@ -26,3 +26,6 @@ class Layout:
 
     def warehouse(self, table: str) -> str:
         return f"{self.root}/warehouse/{table}"
+
+    def zones(self, table: str) -> str:
+        return f"{self.root}/warehouse/{table}_zones"

@@ -20,6 +20,7 @@ from barweave.operators.lookups import (
     detail_facts,
     with_single_id,
 )
+from barweave.operators.zones import ZONE_PARTITIONS, merged_zones, zones_of
 from barweave.plans.layout import Layout
 from barweave.schemas import (
     DERIVATIVE_DIM,
@@ -31,8 +32,10 @@ from barweave.schemas import (
     INDEX_MARKET,
     INDEX_NAME,
     SUBJECTS,
+    ZONES,
     Subject,
 )
+from barweave.session import materialize
 from barweave.sources.tables import conform, read_table, write_partitions
 
 TABLES = {
@@ -42,6 +45,7 @@ TABLES = {
     "derivative_detail": DETAIL_DIM,
     "derivative_detail_history": DETAIL_HISTORY,
 }
+HISTORIES = ("index_history", "derivative_detail_history")
 FACT_PARTITIONS = ("subject", "ds")
 
 
@@ -49,10 +53,54 @@ def warehouse_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame
     return read_table(spark, layout.warehouse(name), TABLES[name])
 
 
+def zone_map(spark: SparkSession, layout: Layout, history: str) -> DataFrame | None:
+    """The zone map of a history; None where none was ever written, so that nothing is pruned."""
+    zones = read_table(spark, layout.zones(history), ZONES)
+    return zones if zones.inputFiles() else None
+
+
+def record_zones(
+    spark: SparkSession, layout: Layout, history: str, rows: DataFrame, widen: bool = False
+) -> None:
+    """Put the zones of the days in ``rows`` into a history's zone map.
+
+    A load widens the zones before it writes facts and sets them when these are there, so a load
+    that broke off leaves zones that are too wide at most. A subject's year is one small file.
+    """
+    known = read_table(spark, layout.zones(history), ZONES)
+    merged = materialize(merged_zones(known, zones_of(rows), widen))
+    write_partitions(merged, layout.zones(history), ZONE_PARTITIONS, ("ds",))
+
+
+def rebuild_zones(spark: SparkSession, layout: Layout, history: str) -> None:
+    """The zone map of a whole history anew, also for one that has been loaded without."""
+    record_zones(spark, layout, history, warehouse_table(spark, layout, history))
+
+
 def register_views(spark: SparkSession, layout: Layout) -> None:
-    """Temporary views under the table names, for candle queries as SQL text."""
+    """The tables as temporary views, and table functions that prune days, for SQL text.
+
+    ``index_history_between(scale, start, end)`` and ``derivative_detail_history_between`` give
+    a history's rows of one scale and a closed range of times, by the zone map where there is one.
+    """
     for name in TABLES:
         warehouse_table(spark, layout, name).createOrReplaceTempView(name)
+    for name in HISTORIES:
+        zones = zone_map(spark, layout, name)
+        met = ""
+        if zones is not None:
+            zones.createOrReplaceTempView(f"{name}_zones")
+            met = f"""left semi join (select subject, ds from {name}_zones
+                where first <= end_time and last >= start_time) z
+              on h.subject = z.subject and h.ds = z.ds"""
+        fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES[name])
+        spark.sql(
+            f"""create or replace temporary function {name}_between(
+                  of_scale int, start_time timestamp, end_time timestamp)
+                returns table({fields})
+                return select {", ".join(TABLES[name].names)} from (select * from {name}
+                  where scale = of_scale and datetime between start_time and end_time) h {met}"""
+        )
 
 
 def add_dimension_rows(
@@ -69,7 +117,7 @@ def load_index(spark: SparkSession, layout: Layout, staged: DataFrame) -> None:
     _ensure_index(spark, layout)
     index = warehouse_table(spark, layout, "index")
     facts = with_single_id(staged, index, "index_id", name=INDEX_NAME, market=INDEX_MARKET)
-    _write_facts(facts, layout, "index_history", INDEX_HISTORY, "index_id")
+    _write_facts(spark, facts, staged, layout, "index_history", INDEX_HISTORY, "index_id")
 
 
 def load_derivatives(
@@ -104,7 +152,13 @@ def load_derivatives(
     contracts = contract_ids(derivative, detail, subject.derivative_type, keys)
     facts = detail_facts(staged, contracts, keys)
     _write_facts(
-        facts, layout, "derivative_detail_history", DETAIL_HISTORY, "derivative_detail_id"
+        spark,
+        facts,
+        staged,
+        layout,
+        "derivative_detail_history",
+        DETAIL_HISTORY,
+        "derivative_detail_id",
     )
 
 
@@ -124,10 +178,19 @@ def _ensure_index(spark: SparkSession, layout: Layout) -> None:
 
 
 def _write_facts(
-    facts: DataFrame, layout: Layout, name: str, schema: T.StructType, key: str
+    spark: SparkSession,
+    facts: DataFrame,
+    staged: DataFrame,
+    layout: Layout,
+    name: str,
+    schema: T.StructType,
+    key: str,
 ) -> None:
+    """Facts and their zone map; ``staged`` has the same days and times."""
+    record_zones(spark, layout, name, staged, widen=True)
     rows = conform(facts, schema)
     write_partitions(rows, layout.warehouse(name), FACT_PARTITIONS, ("scale", "datetime", key))
+    record_zones(spark, layout, name, staged)
 
 
 def candles_of_index(
@@ -140,6 +203,7 @@ def candles_of_index(
         scale,
         start,
         end,
+        zone_map(spark, layout, "index_history"),
     )
 
 
@@ -161,4 +225,5 @@ def candles_of_contract(
         scale,
         start,
         end,
+        zone_map(spark, layout, "derivative_detail_history"),
     )

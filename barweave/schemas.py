@@ -81,6 +81,15 @@ TICKS = _struct(
     ("ds", T.DateType(), True),
 )
 
+# Least and greatest time of a subject's day in a history.
+ZONES = _struct(
+    ("subject", T.StringType(), True),
+    ("year", T.IntegerType(), True),
+    ("ds", T.DateType(), True),
+    ("first", T.TimestampType(), True),
+    ("last", T.TimestampType(), True),
+)
+
 _BAR_FIELDS = (
     ("scale", T.IntegerType(), True),
     ("datetime", T.TimestampType(), True),

@@ -33,6 +33,8 @@ def main(arguments: list[str] | None = None) -> None:
     if options.step is None:
         days = daily.run_days(spark, layout, first, last, subjects, options.charset)
         print(f"{len(days)} trading days from {first} to {last}")
+        for subject, counts in days.counts.items():
+            print(subject, *(f"{name}={n}" for name, n in counts.items()))
         return
     days = daily.open_days(spark, layout, first, last)
     for subject in subjects if days else ():

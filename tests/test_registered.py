@@ -70,6 +70,18 @@ def test_narrow_steps_do_not_shuffle(spark, name):
     assert "Exchange" not in plan_of(QUERIES[name](spark, SF_DIR))
 
 
+def test_ticks_meet_their_statistics_with_few_exchanges(spark):
+    """One scan for the bars, one for the ticks; minutes come from the bars' bitmaps."""
+    plan = plan_of(QUERIES["tick_stats_all_scales"](spark, SF_DIR))
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") <= 5
+    assert "bit_or" in plan
+
+
+def test_candles_are_pruned_by_day(spark):
+    plan = plan_of(QUERIES["candles_by_zone"](spark, SF_DIR))
+    assert "dynamicpruning" in plan and "LeftSemi" in plan
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
