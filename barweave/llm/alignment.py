@@ -40,7 +40,7 @@ def _count_task(path_a: str, path_b: str):
         import numpy as np
         import pyarrow as pa
 
-        from barweave.llm.two_tokenizers import aligner
+        from barweave.llm.two_tokenizers import aligner, flat
         from barweave.llm.wordhash import slices, text_bytes
 
         both = aligner(path_a, path_b)
@@ -64,7 +64,7 @@ def _count_task(path_a: str, path_b: str):
             found = both.read(text_bytes(batch.column(0)))
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             if sizes.sum():
-                pieces = np.fromiter((p for own in found for p in own), np.int64, int(sizes.sum()))
+                pieces = flat(found)
                 row = np.repeat(np.arange(len(found)), sizes)
                 # A row's piece, then a row's pair, counts once.
                 own = np.unique((row << 32) | pieces)
@@ -260,7 +260,7 @@ def align_tokenizers(
         import numpy as np
         import pyarrow as pa
 
-        from barweave.llm.two_tokenizers import Growing, aligner
+        from barweave.llm.two_tokenizers import Growing, aligner, flat
         from barweave.llm.wordhash import slices, text_bytes
 
         both, generation = aligner(path_a, path_b), None
@@ -280,7 +280,7 @@ def align_tokenizers(
                 sums.extend(_sums(n[which], counts))
                 highs.extend(_sums(best[which].astype(np.int64), counts))
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            pieces = np.fromiter((p for own in found for p in own), np.int64, int(sizes.sum()))
+            pieces = flat(found)
             totals = [_sums(made.data[pieces], sizes) for made in (*both.counts[:4], highs, sums)]
             groups = [";".join([both.groups[p] for p in own]) for own in found]
             columns = [batch.column(i) for i in range(batch.num_columns) if i != at]
@@ -314,7 +314,7 @@ def _joined(rows: DataFrame, at: int, path_a: str, path_b: str, segments: DataFr
         import numpy as np
         import pyarrow as pa
 
-        from barweave.llm.two_tokenizers import aligner
+        from barweave.llm.two_tokenizers import aligner, flat
         from barweave.llm.wordhash import slices, text_bytes
 
         both = aligner(path_a, path_b)
@@ -323,7 +323,7 @@ def _joined(rows: DataFrame, at: int, path_a: str, path_b: str, segments: DataFr
             groups, keys, times = [], [], []
             found = both.read(text_bytes(batch.column(at)))
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            pieces = np.fromiter((p for own in found for p in own), np.int64, int(sizes.sum()))
+            pieces = flat(found)
             totals = [_sums(made.data[pieces], sizes) for made in both.counts[:4]]
             for own in found:
                 links, _ = both.gathered(np.array(own, dtype=np.int64))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -20,8 +21,11 @@ CACHED_BYTES = 32 << 20
 #: Bytes after a blank that do not begin a white-space character, in ASCII or beyond.
 CUT = re.compile(rb"(?<=[^ ])(?= [!-~\xc3-\xdf\xe4-\xf4])")
 MARK = "▁".encode()
-#: Pieces on whose characters all libraries agree: ASCII that is visible, Latin letters with marks.
-PLAIN = re.compile(rb" (?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Bytes of characters on which all libraries agree: a line's end, visible ASCII, and behind the byte
+#: C3 Latin letters with marks.
+_BYTES = np.arange(256)
+ALONE = (_BYTES == 10) | ((_BYTES > 32) & (_BYTES < 127)) | (_BYTES == 0xC3)
+BEHIND_C3 = (_BYTES >= 0x80) & (_BYTES <= 0xBF) & (_BYTES != 0x97) & (_BYTES != 0xB7)
 # Fixed value: how byte-level vocabularies split a text before they merge.
 SPLITS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -38,8 +42,21 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def _flat(lists) -> np.ndarray:
-    return np.fromiter((i for some in lists for i in some), dtype=np.int64)
+def flat(lists) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64)
+
+
+class Numbers(dict):
+    """Numbers of pieces in the order they are first asked for; ``new`` has those not learnt yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> int:
+        self.new.append(piece)
+        number = self[piece] = len(self)
+        return number
 
 
 class Numerals:
@@ -133,7 +150,7 @@ class Aligner:
         return tiktoken.Encoding("pieces", pat_str=SPLITS, mergeable_ranks=ranks, special_tokens={})
 
     def _forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.numbers = Numbers()
         #: By piece: tokens of both, groups, links, and if the tokens give the piece back.
         self.counts = [Growing() for _ in range(5)]
         self.groups: list[str] = []
@@ -150,47 +167,54 @@ class Aligner:
     def read(self, texts: list[bytes | None]) -> list[list[int]]:
         """Numbers of each text's pieces, in order; none for a text that is null or empty, or that
         the tokens of one side do not give back."""
-        out, new = [], []
-        known = self.numbers
+        out = []
+        number = self.numbers.__getitem__
         for text in texts:
             if not text:
                 out.append([])
                 continue
             whole = not self.cuts or MARK in text
-            pieces = [b" " + text] if whole else CUT.split(b" " + text)
-            for piece in pieces:
-                if piece not in known:
-                    known[piece] = len(self.groups) + len(new)
-                    new.append(piece)
-            out.append([known[p] for p in pieces])
-        if new:
+            out.append(list(map(number, [b" " + text] if whole else CUT.split(b" " + text))))
+        if self.numbers.new:
+            new, self.numbers.new = self.numbers.new, []
             self._learn(new)
         if self.broken:
             return [[] if any(p in self.broken for p in pieces) else pieces for pieces in out]
         return out
 
-    def _encoded(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _plain(self, sizes: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Which pieces are a blank and then characters on which the libraries agree."""
+        behind = np.concatenate([[False], data[:-1] == 0xC3])
+        fine = np.where(behind, BEHIND_C3[data], ALONE[data])
+        starts = np.cumsum(sizes) - sizes
+        fine[starts] = sizes > 1
+        return np.logical_and.reduceat(fine, starts)
+
+    def _encoded(self, new: list[bytes], sizes: np.ndarray, data: np.ndarray):
         """Ids by both tokenizers, and how many each piece has."""
         texts = [p.decode() for p in new]
         found_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        ids_a: list[list[int]] = [[]] * len(new)
-        plain = [i for i, p in enumerate(new) if self.fast is not None and PLAIN.fullmatch(p)]
-        if plain:
-            ids = self.fast.encode_ordinary("".join([texts[i] for i in plain]))
-            ends = np.cumsum(self.sizes_a[np.array(ids)])
-            cuts = np.searchsorted(ends, np.cumsum([len(new[i]) for i in plain]), side="right").tolist()
-            for i, begin, end in zip(plain, [0, *cuts], cuts):
-                ids_a[i] = ids[begin:end]
-        rest = [i for i, ids in enumerate(ids_a) if not ids]
-        for i, found in zip(rest, self.a.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
-            ids_a[i] = found.ids
-        counts = [np.fromiter(map(len, ids), np.int64, len(new)) for ids in (ids_a, found_b)]
-        return _flat(ids_a), counts[0], _flat(found_b), counts[1]
+        plain = np.zeros(len(new), dtype=bool) if self.fast is None else self._plain(sizes, data)
+        counts = np.zeros(len(new), dtype=np.int64)
+        ids = np.zeros(0, dtype=np.int64)
+        if plain.any():
+            joined = "".join(texts) if plain.all() else "".join([texts[i] for i in np.flatnonzero(plain)])
+            ids = np.array(self.fast.encode_ordinary(joined), dtype=np.int64)
+            stops = np.searchsorted(np.cumsum(self.sizes_a[ids]), np.cumsum(sizes[plain]), side="right")
+            counts[plain] = np.diff(stops, prepend=0)
+        if not plain.all():
+            rest = [texts[i] for i in np.flatnonzero(~plain)]
+            others = [e.ids for e in self.a.encode_batch(rest, add_special_tokens=False)]
+            counts[~plain] = np.fromiter(map(len, others), np.int64, len(others))
+            of_plain, both = np.repeat(plain, counts), np.empty(int(counts.sum()), dtype=np.int64)
+            both[of_plain], both[~of_plain] = ids, flat(others)
+            ids = both
+        return ids, counts, flat(found_b), np.fromiter(map(len, found_b), np.int64, len(new))
 
     def _learn(self, new: list[bytes]) -> None:
-        ids_a, n_a, ids_b, n_b = self._encoded(new)
         sizes = np.fromiter(map(len, new), np.int64, len(new))
         bytes_of = np.frombuffer(b"".join(new), np.uint8)
+        ids_a, n_a, ids_b, n_b = self._encoded(new, sizes, bytes_of)
         same = self._gives_back(ids_a, n_a, sizes, bytes_of, self.pool_a, self.starts_a, self.sizes_a)
         same &= self._gives_back(ids_b, n_b, sizes, bytes_of, self.pool_b, self.starts_b, self.sizes_b)
         if not same.all():
@@ -199,8 +223,10 @@ class Aligner:
             self.broken |= {len(self.groups) + int(i) for i in np.flatnonzero(~same)}
             n_a, n_b, sizes = n_a * same, n_b * same, sizes * same
         ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        steps = np.union1d(ends_a, ends_b)
+        both = np.concatenate([ends_a, ends_b])
+        both.sort(kind="stable")  # two runs in order, to be merged
+        again = np.concatenate([[False], both[1:] == both[:-1]])[: len(both)]
+        common, steps = both[again], both[~again]
         piece_ends = np.cumsum(sizes)
 
         def per_piece(ends: np.ndarray) -> np.ndarray:
