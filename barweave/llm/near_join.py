@@ -43,6 +43,10 @@ REGION_POINTS = 1024
 REGION_GRAMS = 1 << 20
 RANGES = 64
 TIED_POINTS = 4096
+BUCKET_ROWS = 1 << 16  # rows of postings with one least point that meet in a task
+TIED_NODES = 1_000_000  # points that a task has tied before it gives its ties out
+SETTLED_BYTES = 16 << 20  # sets of regions that are joined before their rows are given out
+SLICE_ROWS = 256
 PIVOTS = 8
 BLOOM_BITS = 26
 KEPT_NODES = 200_000  # recent sets a task remembers, so as not to repeat their postings
@@ -227,8 +231,14 @@ def _cells(texts: DataFrame, ranges: DataFrame, percent: int, shingle: int) -> D
     counts = shared.groupBy("part").agg(F.min("node").alias("b"), F.count("*").alias("points"))
     crowded = materialize(counts.where(F.col("points") > TIED_POINTS).select("part", "b"))
     stars = shared.join(crowded, "part").select(F.col("node").alias("a"), "b").distinct()
-    few = shared.join(crowded, "part", "left_anti").join(ranges, "node")
-    dealt = few.repartition("part").sortWithinPartitions("part", "node")
+    # Postings of one group of near copies have its least point in common as a rule. They meet in one
+    # task, or where they are many in as many as they need, so that a task ties their points once.
+    sized = counts.where(F.col("points") <= TIED_POINTS)
+    load = sized.groupBy("b").agg(F.sum("points").alias("rows"))
+    share = F.pmod(F.xxhash64("part"), F.ceil(F.col("rows") / BUCKET_ROWS))
+    buckets = sized.join(load, "b").select("part", F.xxhash64("b", share).alias("bucket"))
+    few = shared.join(buckets, "part").join(ranges, "node")
+    dealt = few.repartition("bucket").sortWithinPartitions("part", "node")
     ties = dealt.select("part", "node", "size", "ranges").mapInArrow(
         _tie(percent), "a bigint, b bigint"
     )
@@ -238,51 +248,73 @@ def _cells(texts: DataFrame, ranges: DataFrame, percent: int, shingle: int) -> D
 
 
 def _tie(percent: int):
-    """Spanning edges of the ties in each posting of at most ``TIED_POINTS``; rows come by posting."""
+    """Spanning edges of the ties in postings of at most ``TIED_POINTS``; rows come by posting.
+
+    A task remembers what it has tied, so points that are together already are not compared again,
+    and gives out one edge per point in the end.
+    """
 
     def tied(batches):
         import numpy as np
         import pyarrow as pa
 
+        above: dict[int, int] = {}
+
+        def root(node):
+            while (up := above.setdefault(node, node)) != node:
+                above[node] = above[up]
+                node = above[node]
+            return node
+
         def settle(nodes, sizes, ranges):
+            groups: dict[int, list[int]] = {}
+            for i, node in enumerate(nodes):
+                groups.setdefault(root(node), []).append(i)
+            if len(groups) == 1:
+                return
             sizes = np.array(sizes, dtype=np.int64)
             held = np.frombuffer(b"".join(ranges), dtype=np.uint8).reshape(len(nodes), -1)
             held = held.astype(np.int16)
-            edges, free = [], list(range(len(nodes)))
-            # Breadth first: every point is compared with the points not reached yet.
-            while free:
-                frontier = [free.pop()]
-                while frontier and free:
+            # Breadth first: every point is compared with the points of groups not reached yet.
+            group_of = np.zeros(len(nodes), dtype=np.int64)
+            members = list(groups.values())
+            for g, own in enumerate(members):
+                group_of[own] = g
+            free = np.arange(len(nodes))
+            while len(free):
+                frontier = list(members[group_of[free[0]]])
+                free = free[group_of[free] != group_of[free[0]]]
+                first = root(nodes[frontier[0]])
+                while frontier and len(free):
                     at = frontier.pop()
-                    rest = np.array(free)
-                    apart = np.abs(held[rest] - held[at]).sum(axis=1, dtype=np.int64)
-                    near = (100 + percent) * apart <= (100 - percent) * (sizes[rest] + sizes[at])
-                    reached = rest[near].tolist()
-                    edges += [(nodes[r], nodes[at]) for r in reached]
-                    frontier += reached
-                    free = rest[~near].tolist()
-            return edges
-
-        def flush(edges):
-            columns = zip(*set(edges)) if edges else ((), ())
+                    apart = np.abs(held[free] - held[at]).sum(axis=1, dtype=np.int64)
+                    near = (100 + percent) * apart <= (100 - percent) * (sizes[free] + sizes[at])
+                    for g in np.unique(group_of[free[near]]).tolist():
+                        above[root(nodes[members[g][0]])] = first
+                        frontier += members[g]
+                        free = free[group_of[free] != g]
+
+        def given():
+            edges = [(n, r) for n in list(above) if (r := root(n)) != n]
+            above.clear()
+            columns = zip(*edges) if edges else ((), ())
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], ["a", "b"]
             )
 
-        part, points, edges = None, {}, []
+        part, points = None, {}
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[0] != part:
                     if len(points) > 1:
-                        edges += settle(list(points), *zip(*points.values()))
+                        settle(list(points), *zip(*points.values()))
                     part, points = row[0], {}
+                    if len(above) > TIED_NODES:
+                        yield given()
                 points[row[1]] = row[2:]
-                if len(edges) > 100_000:
-                    yield flush(edges)
-                    edges = []
         if len(points) > 1:
-            edges += settle(list(points), *zip(*points.values()))
-        yield flush(edges)
+            settle(list(points), *zip(*points.values()))
+        yield given()
 
     return tied
 
@@ -476,6 +508,12 @@ def _join_small(points: DataFrame, percent: int) -> DataFrame:
                 least = reached
             return nodes, least, linked @ copies
 
+        def rows_of(batches):
+            for batch in batches:
+                for start in range(0, batch.num_rows, SLICE_ROWS):
+                    some = batch.slice(start, SLICE_ROWS)
+                    yield from zip(*(c.to_pylist() for c in some.columns))
+
         def flush(groups):
             parts = [settle(g) for g in groups]
             return pa.RecordBatch.from_arrays(
@@ -483,17 +521,17 @@ def _join_small(points: DataFrame, percent: int) -> DataFrame:
                 ["node", "least", "links"],
             )
 
-        group, full, current = [], [], None
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != current:
-                    if len(group) > 1:
-                        full.append(group)
-                    if len(full) >= 1000:
-                        yield flush(full)
-                        full = []
-                    group, current = [], row[0]
-                group.append(row)
+        group, full, held, current = [], [], 0, None
+        for row in rows_of(batches):
+            if row[0] != current:
+                if len(group) > 1:
+                    full.append(group)
+                    held += sum(len(r[4]) for r in group)
+                if held > SETTLED_BYTES or len(full) >= 1000:
+                    yield flush(full)
+                    full, held = [], 0
+                group, current = [], row[0]
+            group.append(row)
         if len(group) > 1:
             full.append(group)
         if full:
