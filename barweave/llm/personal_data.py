@@ -40,7 +40,7 @@ BASE = {
 LOOSE = {
     "secret": r"(?<![A-Za-z0-9_-])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{3,}+[\"']?\x20?[=:]\x20?[\"']?[A-Za-z0-9+/_-]{12,}+",
     "number": r"(?<![0-9A-Za-z])[0-9](?:[\x20().-]{0,2}[0-9]){6,}+(?![0-9A-Za-z])",
-    "at_mail": r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{2,40}+\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9.-]{2,60}",
+    "at_mail": r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{2,}+\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9.-]{2,}+",
 }
 #: A text without this has no match, and is not searched.
 NEEDS = {"email": "@", "phone": "+", "secret": "[=:]", "at_mail": "[\\[(](?:at|AT)[\\])]"}

@@ -7,8 +7,9 @@ weights. The model is one number per bucket whatever the data, so scoring is a p
 texts without a shuffle.
 
 Training takes a bounded sample of the labelled rows: ``SAMPLE_ROWS`` of them, picked by a
-hash of the id, with texts of at most ``SAMPLE_CHARACTERS``. Their features, not their
-texts, come to the driver. Every text is scored whole, however long.
+hash of the id, with their whole texts, however long. Counts of the buckets are made on Spark;
+to the driver come one pair of counts per bucket and, of each text, the buckets whose ratio
+tells something. Every text is scored whole, too.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barweave.llm.common import Packed
+from barweave.llm.common import Packed, discard
+from barweave.session import materialize
 
 ORDERS = (4, 5)
 BUCKET_BITS = 20
 SAMPLE_ROWS = 8_000
-SAMPLE_CHARACTERS = 6_000
 THRESHOLD = 0.3
 LEAST_TEXTS = 3  # that have a bucket for it to count
 LEAST_RATIO = 1.0
@@ -56,6 +57,20 @@ def buckets(text: str | None):
     return np.concatenate(found).astype(np.uint32) if found else np.zeros(0, dtype=np.uint32)
 
 
+def ratios(held, among):
+    """Log-count ratio of every bucket, and whether it tells enough to be used.
+
+    From the numbers of texts, and of toxic ones, that have the bucket.
+    """
+    import numpy as np
+
+    size, other = len(held), held - among
+    ratio = np.log((among + SMOOTHING) / (among.sum() + SMOOTHING * size)) - np.log(
+        (other + SMOOTHING) / (other.sum() + SMOOTHING * size)
+    )
+    return ratio, (held >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
+
+
 class Model:
     """A bias and a weight per bucket."""
 
@@ -76,24 +91,26 @@ class Model:
         import numpy as np
 
         size = 1 << BUCKET_BITS
+        held, among = np.zeros(size), np.zeros(size)
+        for buckets_of, is_toxic in zip(features, toxic):
+            held[buckets_of] += 1
+            if is_toxic:
+                among[buckets_of] += 1
+        return cls.of_counts(features, toxic, *ratios(held, among))
+
+    @classmethod
+    def of_counts(cls, features: list, toxic, ratio, used) -> Model:
+        """The same with ratios at hand; of the features only ``used`` ones matter."""
+        import numpy as np
+
         toxic = np.asarray(toxic, dtype=np.float64)
         n, positive = len(toxic), float(toxic.sum())
+        size = len(ratio)
         prior = (positive + 1) / (n + 2)
         bias = float(np.log(prior / (1 - prior)))
         weights = np.zeros(size, dtype=np.float32)
         if not 0 < positive < n:
             return cls(bias, weights)
-        # One text at a time: only what the model uses is ever put together.
-        held, among = np.zeros(size), np.zeros(size)
-        for buckets_of, is_toxic in zip(features, toxic):
-            held[buckets_of] += 1
-            if is_toxic:
-                among[buckets_of] += 1
-        other = held - among
-        ratio = np.log((among + SMOOTHING) / (among.sum() + SMOOTHING * size)) - np.log(
-            (other + SMOOTHING) / (other.sum() + SMOOTHING * size)
-        )
-        used = (among + other >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
         chosen = np.flatnonzero(used)
         place = np.zeros(size, dtype=np.int32)
         place[chosen] = np.arange(len(chosen))
@@ -125,7 +142,6 @@ def train(
     text: str = "text",
     label: str = "toxic",
     rows: int = SAMPLE_ROWS,
-    characters: int = SAMPLE_CHARACTERS,
 ) -> Model:
     """A model of labelled texts that are not held out.
 
@@ -143,7 +159,6 @@ def train(
     # At most so many rows, by the parameter: the texts stay where they are.
     chosen = known.orderBy(F.md5(F.col("id").cast("string")), "id").limit(rows)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    texts = texts.where(F.coalesce(F.length("text"), F.lit(0)) <= characters)
     sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "toxic").agg(F.max("text").alias("text"))
 
     def featured(batches):
@@ -151,18 +166,44 @@ def train(
         import pyarrow as pa
 
         for batch in batches:
-            held = [np.unique(buckets(t)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(held, pa.binary())], ["toxic", "held"]
-            )
+            for toxic, one in zip(*(c.to_pylist() for c in batch.columns)):
+                held = pa.array([np.unique(buckets(one)).astype(np.int32)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array([toxic]), held], ["toxic", "held"])
 
     import numpy as np
 
-    found = sample.select("toxic", "text").mapInArrow(featured, "toxic double, held binary").toPandas()
+    learnt = materialize(
+        sample.select("toxic", "text").mapInArrow(featured, "toxic double, held array<int>")
+    )
+    # At most a row per bucket, a number that does not follow the data.
+    counts = (
+        learnt.select("toxic", F.explode("held").alias("bucket"))
+        .groupBy("bucket")
+        .agg(F.count("*").alias("held"), F.sum((F.col("toxic") > 0).cast("int")).alias("among"))
+        .toPandas()
+    )
+    held, among = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)
+    held[counts["bucket"]], among[counts["bucket"]] = counts["held"], counts["among"]
+    ratio, used = ratios(held, among)
+    sent = docs.sparkSession.sparkContext.broadcast(used)
+
+    def narrowed(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            own = [np.asarray(h, dtype=np.uint32) for h in batch.column(1).to_pylist()]
+            own = [h[sent.value[h]].tobytes() for h in own]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(own, pa.binary())], ["toxic", "held"]
+            )
+
+    found = learnt.mapInArrow(narrowed, "toxic double, held binary").toPandas()
+    discard(learnt)
     # The order of rows must not change sums of floats between runs.
     found = found.sort_values(["held", "toxic"], kind="stable")
     features = [np.frombuffer(h, dtype=np.uint32) for h in found["held"]]
-    return Model.fit(features, (found["toxic"].to_numpy() > 0).astype(float))
+    return Model.of_counts(features, (found["toxic"].to_numpy() > 0).astype(float), ratio, used)
 
 
 def score_toxicity(

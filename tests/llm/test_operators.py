@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -19,7 +20,7 @@ from barweave.llm.quality import judge_quality
 from barweave.llm.sharding import assign_shards, fill_table
 from barweave.llm.token_counts import apply_edits, build_trees
 from barweave.llm.token_files import round_trip
-from barweave.llm.toxicity import score_toxicity, train
+from barweave.llm.toxicity import Model, buckets, score_toxicity, train
 from barweave.llm.url_filter import RULE_COLUMNS, judge_urls
 
 SCHEMA = "doc_id bigint, text string, source string, kept string, node string"
@@ -292,3 +293,28 @@ def test_toxicity(spark, docs):
     scored = score_toxicity(many, train(many, labels)).join(labels, "doc_id").where("held_out")
     assert scored.where("predicted <> toxic and doc_id > 7").count() == 0
     assert score_toxicity(docs, train(docs, labels.limit(0))).count() == 8
+
+
+def test_labelled_texts_are_learnt_from_whole(spark):
+    """Long labelled texts teach like short ones, and counts are those of one process."""
+    filler = " ".join(f"w{n}" for n in range(3000))
+    rows = [(i, f"{filler} {'awful stuff' if i % 2 else 'fine weather'}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    model = train(docs, labels)
+    assert len(rows[0][1]) > 12_000
+    assert model.score(rows[1][1]) > 0.5 > model.score(rows[0][1])
+    learnt = [(t, i % 2) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    features = [np.unique(buckets(t)) for t, _ in learnt]
+    alone = Model.fit(features, [toxic for _, toxic in learnt])
+    assert model.bias == pytest.approx(alone.bias, abs=1e-9)
+    assert np.allclose(model.weights, alone.weights, atol=1e-6)
+
+
+def test_spelt_out_addresses_of_any_length(spark):
+    """A long name or host before and after ``(at)`` is one candidate, whole."""
+    name, host = "n" * 90, "h" * 90 + ".example.com"
+    rows = spark.createDataFrame([(1, f"mail {name} (at) {host} now")], "doc_id bigint, text string")
+    found = find_personal_data(rows, SpanClassifier(9.0, {})).first()
+    spans = [(s.start, s.stop) for s in found.all_spans if s.kind == "at_mail"]
+    assert spans == [(5, 5 + len(name) + 6 + len(host))]
