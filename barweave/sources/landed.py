@@ -1,9 +1,9 @@
 """Landed raw files to raw records.
 
-Zip members are not readable by a built-in format, nor is Big5 text, so one small
-``mapInArrow`` step turns file bytes into lines; parsing is left to ``from_csv``. A
-file is one task's work: a day's archive is some ten megabytes, and there is at least
-one file per subject and day.
+Zip members are not readable by a built-in format, nor is Big5 text, so lines come from a data
+source of its own (:mod:`barweave.sources.archives`), a task per member; parsing is left to
+``from_csv``. In stores that only Hadoop's classes reach, one small ``mapInArrow`` step turns whole
+files into lines, a task per archive.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from barweave.schemas import (
     ROC_YEAR_OFFSET,
     SPREAD_ARCHIVE_PATTERN,
 )
+from barweave.sources.archives import has_members, member_lines, qualified
 
 LINES = "source_file string, member string, row_no bigint, line_no bigint, line string"
 BATCH_LINES = 20_000
@@ -171,11 +172,15 @@ def _read_csv_lines(
     stop: int | None = None,
     zipped: bool = False,
 ) -> DataFrame:
-    glob = day_glob(days)
-    lines = skip_lines(read_lines(spark, path, glob, charset, zipped=zipped), head, stop)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    names = files.select(F.col("path").alias("source_file"))
-    return parse_csv(with_file_numbers(lines, names), schema, *origin_columns())
+    if has_members(qualified(spark, path)):
+        lines = member_lines(spark, path, list(days or ()), charset, zipped)
+        numbered = skip_lines(lines, head, stop).withColumn("row_no", F.col("line_no"))
+    else:
+        glob = day_glob(days)
+        lines = skip_lines(read_lines(spark, path, glob, charset, zipped=zipped), head, stop)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+        numbered = with_file_numbers(lines, files.select(F.col("path").alias("source_file")))
+    return parse_csv(numbered, schema, *origin_columns())
 
 
 def read_futures(
@@ -204,16 +209,14 @@ def read_index(
 
 def read_etf(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
     """One JSON document per day with the ticks nested in ``data``."""
-    documents = (
-        spark.read.schema(ETF_RAW)
-        .option("multiLine", True)
-        .option("pathGlobFilter", day_glob(days))
-        .json(path)
-        .select("data", F.col("_metadata.file_path").alias("source_file"))
-    )
+    name = F.col("_metadata.file_path").alias("source_file")
+    files = spark.read.option("pathGlobFilter", day_glob(days))
+    documents = files.schema(ETF_RAW).option("multiLine", True).json(path).select("data", name)
+    # Names only: no content is read for them.
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", day_glob(days)).load(path)
     ticks = documents.select("source_file", F.posexplode("data").alias("row_no", "tick"))
     ticks = ticks.withColumn("row_no", F.col("row_no").cast("bigint"))
-    ticks = with_file_numbers(ticks, documents).withColumn("line_no", F.col("row_no"))
+    ticks = with_file_numbers(ticks, listed.select(name)).withColumn("line_no", F.col("row_no"))
     return ticks.select("tick.*", *origin_columns())
 
 
