@@ -24,6 +24,10 @@ class Layout:
     def bars(self) -> str:
         return f"{self.root}/bars"
 
+    @property
+    def manifest(self) -> str:
+        return f"{self.root}/landed_files"
+
     def warehouse(self, table: str) -> str:
         return f"{self.root}/warehouse/{table}"
 

@@ -82,6 +82,16 @@ TICKS = _struct(
 )
 
 # Least and greatest time of a subject's day in a history.
+LANDED_FILES = _struct(
+    ("subject", T.StringType(), True),
+    ("year", T.IntegerType(), True),
+    ("ds", T.DateType(), True),
+    ("path", T.StringType(), True),
+    ("length", T.LongType(), True),
+    ("modified", T.TimestampType(), True),
+    ("checksum", T.StringType(), True),
+)
+
 ZONES = _struct(
     ("subject", T.StringType(), True),
     ("year", T.IntegerType(), True),
