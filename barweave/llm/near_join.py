@@ -46,6 +46,7 @@ TIED_POINTS = 4096
 BUCKET_ROWS = 1 << 16  # rows of postings with one least point that meet in a task
 TIED_NODES = 1_000_000  # points that a task has tied before it gives its ties out
 SETTLED_BYTES = 16 << 20  # sets of regions that are joined before their rows are given out
+CHUNK_BYTES = 2 << 20  # sets, on average, that are measured against their pivots at once
 SLICE_ROWS = 256
 PIVOTS = 8
 BLOOM_BITS = 26
@@ -394,11 +395,13 @@ def _split(
     Comes with the table that the regions are read from.
     """
     ranked = Window.partitionBy("region").orderBy(F.xxhash64(F.lit(level), "node"))
-    chunks = F.ceil(F.col("points") / REGION_POINTS)
+    # Chunks are bounded by their bytes, too, as each is one frame and its rows are given out together.
+    by_bytes = F.ceil(F.col("grams_in") * 8 / CHUNK_BYTES)
+    chunks = F.least(F.col("points"), F.greatest(F.ceil(F.col("points") / REGION_POINTS), by_bytes))
     pivots = (
-        points.select("region", "node", "grams", "points", F.row_number().over(ranked).alias("n"))
+        points.select("region", "node", "grams", chunks.alias("chunks"), F.row_number().over(ranked).alias("n"))
         .where(F.col("n") <= PIVOTS)
-        .select("region", F.explode(F.sequence(F.lit(0), chunks - 1)), "node", "grams")
+        .select("region", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)), "node", "grams")
         .toDF("of", "part", "centre", "centre_grams")
     )
     dealt = points.select(
