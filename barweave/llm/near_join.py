@@ -18,6 +18,9 @@ link within ``1 - 0.85``, or of n-grams and within what the caller asks for. Equ
    is at most the home distance plus twice the link distance. Regions are split again until
    they are small. Where windows are so wide that a split does not make regions smaller,
    the region is cut into blocks and each pair of blocks is a region: always exact.
+   Where only classes are asked for, points that link with a pivot are contracted: they are
+   one class by that, so no two of them are compared, and one of them stays in the pivot's
+   region only if a point that does not link with the pivot is near enough to link with it.
 3. *Join.* In a small region all similarities come from products of a 0/1 matrix. A pair is
    counted where at each level one of the two at least is at home, or the two are of a
    region's two blocks, which is exactly once. ``mask`` has a byte for each level for that.
@@ -127,9 +130,11 @@ def postings_of(grams, node: int, percent: int):
             np.bincount(part, high, parts).astype(np.uint64) << np.uint64(32)
         )
         keys = mix(sums + mix(np.arange(parts, dtype=np.uint64) + np.uint64(number << 32)))
-        # At least parts - differ parts agree. With fewer empty ones, one that agrees is not.
-        if parts - np.count_nonzero(held) < parts - differ:
-            keys = keys[held]
+        # Of the first n parts n - differ agree at least. With fewer empty ones among them, one that
+        # agrees is not; the least such n of two sets do for both.
+        enough = np.flatnonzero(np.cumsum(held) > differ)
+        if len(enough):
+            keys = keys[: enough[0] + 1][held[: enough[0] + 1]]
         out.append(keys)
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
@@ -364,8 +369,11 @@ def _points(texts: DataFrame, cells: DataFrame, weights: DataFrame, shingle: int
 POINT = "region bigint, mask binary, node bigint, copies bigint, grams binary"
 
 
-def _settled(points: DataFrame, percent: int) -> DataFrame:
-    """``node``, ``least`` and ``links`` of every point in every region, split as needed."""
+def _settled(points: DataFrame, percent: int, contract: bool) -> DataFrame:
+    """``node``, ``least`` and ``links`` of every point in every region, split as needed.
+
+    With ``contract`` the classes are whole, but not all links are counted.
+    """
     done, level = None, 0
     points = materialize(points)
     while True:
@@ -381,18 +389,24 @@ def _settled(points: DataFrame, percent: int) -> DataFrame:
         if large.isEmpty():
             discard(points, large)
             return done
-        parts, measured = _split(points.join(large, "region"), large, percent, level)
+        parts, measured = _split(points.join(large, "region"), large, percent, contract, level)
+        if contract:
+            tied = measured.select("node", F.explode("centres").alias("least"))
+            done = done.unionByName(materialize(tied.withColumn("links", F.lit(0).cast("bigint"))))
         before, points = points, materialize(parts)
         discard(before, large, measured)
         level += 1
 
 
 def _split(
-    points: DataFrame, sizes: DataFrame, percent: int, level: int
+    points: DataFrame, sizes: DataFrame, percent: int, contract: bool, level: int
 ) -> tuple[DataFrame, DataFrame]:
     """Regions around pivots, or pairs of blocks where pivots do not separate.
 
-    Comes with the table that the regions are read from.
+    Comes with the table that the regions are read from: a row per point with the pivots whose
+    regions it is in (``child``, of which ``home`` is the last), how ``far`` they are, whether it
+    is ``bound`` to them by a link, and the nodes of all pivots that it links with (``centres``).
+    Without ``contract`` no point is bound.
     """
     ranked = Window.partitionBy("region").orderBy(F.xxhash64(F.lit(level), "node"))
     # Chunks are bounded by their bytes, too, as each is one frame and its rows are given out together.
@@ -408,62 +422,105 @@ def _split(
         *("region", "mask", "node", "copies", "grams"),
         F.pmod(F.xxhash64(F.lit(level + 1000), "node"), chunks).alias("chunk"),
     )
-    away = 2 * (1 - percent / 100)
+    reach = 1 - percent / 100
+    schema = f"{POINT}, home int, child array<int>, far array<double>, bound array<boolean>, centres array<bigint>"
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def measure(members, centres):
         import numpy as np
         import pandas as pd
 
-        if not len(members) or not len(centres):
-            return pd.DataFrame({n: [] for n in ("region", "mask", "node", "copies", "grams", "child", "home")})
-        centre_sets = [np.frombuffer(g, dtype=np.uint64) for g in centres.sort_values("centre")["centre_grams"]]
         out = []
-        for row in members.itertuples(index=False):
-            own = np.frombuffer(row.grams, dtype=np.uint64)
-            far = []
-            for centre in centre_sets:
-                shared = len(np.intersect1d(own, centre, assume_unique=True))
-                far.append(1 - shared / (len(own) + len(centre) - shared))
-            far = np.array(far)
-            home = int(np.argmin(far))
-            for child in np.flatnonzero(far <= far[home] + away + 1e-9):
-                if child <= home:
-                    out.append((row.region, row.mask, row.node, row.copies, row.grams, int(child), child == home))
-        return pd.DataFrame(out, columns=["region", "mask", "node", "copies", "grams", "child", "home"])
+        if len(members) and len(centres):
+            centres = centres.sort_values("centre")
+            centre_nodes = [int(n) for n in centres["centre"]]
+            centre_sets = [np.frombuffer(g, dtype=np.uint64) for g in centres["centre_grams"]]
+            for row in members.itertuples(index=False):
+                own = np.frombuffer(row.grams, dtype=np.uint64)
+                far, bound = [], []
+                for centre in centre_sets:
+                    shared = len(np.intersect1d(own, centre, assume_unique=True))
+                    far.append(1 - shared / (len(own) + len(centre) - shared))
+                    bound.append(contract and links(shared, len(own), len(centre), percent))
+                home = int(np.argmin(far))
+                child = [c for c in range(home + 1) if far[c] <= far[home] + 2 * reach + 1e-9]
+                tied = [n for n, b in zip(centre_nodes, bound) if b and n != row.node]
+                out.append(
+                    (row.region, row.mask, row.node, row.copies, row.grams, home, child)
+                    + ([far[c] for c in child], [bound[c] for c in child], tied)
+                )
+        return pd.DataFrame(out, columns=names)
 
     measured = materialize(
-        dealt.groupBy("region", "chunk")
-        .cogroup(pivots.groupBy("of", "part"))
-        .applyInPandas(measure, f"{POINT}, child int, home boolean")
+        dealt.groupBy("region", "chunk").cogroup(pivots.groupBy("of", "part")).applyInPandas(measure, schema)
     )
-    children = measured.groupBy("region", "child").agg(F.count("*").alias("n"))
-    worth = (
-        children.groupBy("region")
+    # How far the nearest point that is not bound is from each pivot; eight rows of a region at most.
+    around = F.explode(F.arrays_zip("child", "far", "bound")).alias("at")
+    rings = (
+        measured.select("region", around)
+        .where("not at.bound")
+        .groupBy("region", F.col("at.child").alias("child"))
+        .agg(F.min("at.far").alias("ring"))
+        .groupBy("region")
+        .agg(F.map_from_entries(F.collect_list(F.struct("child", "ring"))).alias("rings"))
+    )
+
+    def stays(at):
+        """A point by its pivot; a bound one links with none but what is bound, too, or in reach of it."""
+        ring = F.col("rings")[at["child"]]
+        met = (ring <= 2 * reach + 1e-9) & (at["far"] >= ring - reach - 1e-9)
+        return ~at["bound"] | F.coalesce(met, F.lit(False))
+
+    staying = F.filter(F.arrays_zip("child", "far", "bound"), stays)
+    # Blocks that the region would be cut into, each with every other one.
+    needed = F.greatest(
+        F.lit(2),
+        F.ceil(F.col("points") * 2 / REGION_POINTS),
+        F.ceil(F.col("grams_in") * 2 / REGION_GRAMS),
+    )
+    blocks = F.least(F.col("points"), needed).cast("int")
+    children = (
+        measured.select("region", "child", "far", "bound")
+        .join(rings, "region", "left")
+        .select("region", F.explode(staying).alias("at"))
+        .groupBy("region", "at.child")
+        .agg(F.count("*").alias("n"))
+        .groupBy("region")
         .agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-        .join(sizes, "region")
-        .select("region", "points", "grams_in", (F.col("most") <= 0.7 * F.col("points")).alias("apart"))
+    )
+    # Pivots are worth their regions if these are smaller, and not more rows than blocks make.
+    smaller = (F.col("most") <= 0.7 * F.col("points")) & (F.col("all") <= blocks * F.col("points"))
+    worth = (
+        sizes.join(children, "region", "left")
+        .join(rings, "region", "left")
+        .select("region", "points", "grams_in", "rings", F.coalesce(smaller, F.lit(True)).alias("apart"))
     )
     judged = measured.join(worth, "region")
     # One byte for each level; two points whose bytes of a level share a bit are no pair here.
     neither, first, second = (F.expr(f"X'0{n}'") for n in range(3))
-    voronoi = judged.where("apart").select(
-        F.xxhash64("region", "child", F.lit(level)).alias("region"),
-        F.concat("mask", F.when(F.col("home"), neither).otherwise(first)).alias("mask"),
-        "node",
-        "copies",
-        "grams",
+    at = F.col("at")
+    guest = at["child"] < F.col("home")
+    side = (
+        F.when(at["bound"], F.when(guest, F.expr("X'05'")).otherwise(F.expr("X'04'")))
+        .when(guest, first)
+        .otherwise(neither)
+    )
+    voronoi = (
+        judged.where("apart")
+        .withColumn("at", F.explode(staying))
+        .select(
+            F.xxhash64("region", at["child"], F.lit(level)).alias("region"),
+            F.concat("mask", side).alias("mask"),
+            "node",
+            "copies",
+            "grams",
+        )
     )
     # Blocks: every point with its own and each other block; in a region of two blocks only
     # pairs across count, which the level's byte says: 1 in the first block, 2 in the second.
-    needed = F.greatest(
-        F.lit(2),
-        F.ceil(F.col("points") * 2 / REGION_POINTS),
-        F.ceil(F.col("grams_in") * 2 / REGION_GRAMS),
-    )
-    blocks = F.least(F.col("points"), needed).cast("int")
     own = F.pmod(F.xxhash64(F.lit(level + 2000), "node"), F.col("blocks")).cast("int")
     cross = (
-        judged.where("not apart and home")
+        judged.where("not apart")
         .withColumn("blocks", blocks)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -584,13 +641,15 @@ def near_classes(
     doc_id: str = "doc_id",
     percent: int = PERCENT,
     shingle: int = SHINGLE,
+    count_links: bool = True,
 ) -> DataFrame:
     """Every row of ``docs`` but its text, with ``n_shingles``, ``component_id``, ``n_links``.
 
     ``n_shingles`` is the size of the set of word n-grams, ``shingle`` words each (a shorter
     text is one, as a whole), words being split at blanks with A-Z lower-cased. ``component_id`` is the least
     id reachable by links, ``n_links`` the number of rows linked with the row, copies
-    included. Also adds ``node``, the 64-bit hash of the set: equal sets, equal nodes.
+    included; without ``count_links`` it is not made, which spares comparing points that are one
+    class by a pivot. Also adds ``node``, the 64-bit hash of the set: equal sets, equal nodes.
 
     A null, empty or blank text has no n-grams, links with nothing and is a component by its
     own id. Rows that repeat link with each other. A null id is never the least unless all
@@ -618,7 +677,7 @@ def near_classes(
         weights = materialize(weights)
         cells = _cells(texts, weights.select("node", "size", "ranges"), percent, shingle)
         points = _points(texts, cells, weights.select("node", "copies"), shingle)
-        settled = _settled(points, percent)
+        settled = _settled(points, percent, contract=not count_links)
         discard(cells)
         reached = settled.where("node <> least")
         labels = components(reached.select(F.col("node").alias("a"), F.col("least").alias("b")))
@@ -640,7 +699,7 @@ def near_classes(
         *kept,
         "n_shingles",
         F.when(has_set, F.col("component")).otherwise(packed[doc_id]).alias("component_id"),
-        F.when(has_set, F.col("links")).otherwise(F.lit(0)).cast("bigint").alias("n_links"),
+        *([F.when(has_set, F.col("links")).otherwise(F.lit(0)).cast("bigint").alias("n_links")] if count_links else []),
         "node",
     )
 
@@ -657,7 +716,7 @@ def keep_one(
     Where rows of that id repeat, one of them stays. A component whose ids are all null
     keeps one row. The columns are those of ``docs``.
     """
-    classes = near_classes(docs.select(doc_id, text), text, doc_id, percent, shingle)
+    classes = near_classes(docs.select(doc_id, text), text, doc_id, percent, shingle, count_links=False)
     own = F.col(doc_id)
     chosen = (
         classes.where(F.col("n_shingles") > 0)
