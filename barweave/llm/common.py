@@ -166,21 +166,18 @@ def runs_of(text: str, pattern: str) -> Column:
         pieces, matches, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("run"))
     )
     spans = "array<struct<start:bigint,stop:bigint>>"
-    walked = F.aggregate(
-        F.filter(ends, lambda e: e["run"].isNotNull()),
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(spans).alias("spans")),
-        lambda done, e: F.struct(
-            (done["at"] + e["gap"] + e["run"]).cast("bigint").alias("at"),
-            F.concat(
-                done["spans"],
-                F.array(
-                    F.struct(
-                        (done["at"] + e["gap"]).cast("bigint").alias("start"),
-                        (done["at"] + e["gap"] + e["run"]).cast("bigint").alias("stop"),
-                    )
-                ),
-            ).alias("spans"),
-        ),
-        lambda done: done["spans"],
-    )
+    zero = F.lit(0).cast("bigint")
+
+    def placed(found: Column) -> Column:
+        steps = F.transform(found, lambda e: (e["gap"] + e["run"]).cast("bigint"))
+        return F.zip_with(
+            found,
+            folded_before(steps, zero, lambda a, b: a + b),
+            lambda e, at: F.struct(
+                (at + e["gap"]).cast("bigint").alias("start"),
+                (at + e["gap"] + e["run"]).cast("bigint").alias("stop"),
+            ),
+        )
+
+    walked = let(F.filter(ends, lambda e: e["run"].isNotNull()), placed)
     return F.coalesce(walked, F.array().cast(spans))

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barweave.llm.common import Packed
+from barweave.llm.common import Packed, folded_before
 
 # The base kinds in order. The patterns find what the plain ones find,
 #   email [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -85,23 +85,23 @@ def _located(kind: str) -> Column:
     matches, pieces = F.col(f"_m_{kind}"), F.col(f"_p_{kind}")
     none = F.array().cast(f"array<struct<{SPAN}>>")
 
-    def step(done, at):
-        start = (done["at"] + F.length(F.get(pieces, at))).cast("bigint")
+    def span(gap_before, at):
+        start = (gap_before + F.length(F.get(pieces, at))).cast("bigint")
         body = F.get(matches, at)
-        stop = (start + F.length(body)).cast("bigint")
-        span = F.struct(
+        return F.struct(
             F.lit(kind).alias("kind"),
             start.alias("start"),
-            stop.alias("stop"),
+            (start + F.length(body)).cast("bigint").alias("stop"),
             body.alias("body"),
             F.right(F.get(pieces, at), F.lit(LEFT)).alias("left"),
             F.left(F.get(pieces, at + 1), F.lit(2)).alias("right"),
         )
-        return F.struct(stop.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
-    places = F.sequence(F.lit(0), F.size(matches) - 1)
-    walked = F.aggregate(places, first, step, lambda done: done["spans"])
+    lengths = F.transform(
+        matches, lambda body, at: (F.length(F.get(pieces, at)) + F.length(body)).cast("bigint")
+    )
+    before = folded_before(lengths, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    walked = F.transform(before, span)
     return F.when(F.size(matches) > 0, F.filter(walked, lambda s: _valid(kind, s["body"]))).otherwise(none)
 
 
