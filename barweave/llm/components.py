@@ -19,8 +19,9 @@ def components(edges: DataFrame) -> DataFrame:
     changes comes to the driver; a round's tables go when the next one is written. Without edges the result is empty.
     """
     both = materialize(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .where("a <> b")
+        # An edge becomes two rows, so that the edges are made once.
+        edges.where("a <> b")
+        .select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         .distinct()
     )
     labels = materialize(

@@ -8,8 +8,10 @@ link within ``1 - 0.85``, or of n-grams and within what the caller asks for. Equ
    more parts than two linked sets can differ in (the number follows from the size class), so
    linked sets have whole parts in common; each part's hash is a posting. Two points of a
    posting are tied if the triangle inequality leaves room for a link: the counts of a set's
-   4-grams in 64 ranges of the hash are its distances from the empty set in each range, and
-   their differences add up to no more than the sets differ. Of the ties of a posting a
+   4-grams in ranges of the hash are its distances from the empty set in each range, and
+   their differences add up to no more than the sets differ. There are 64 ranges, and more for a
+   larger set, two to four of its 4-grams in each: chance differences grow with the root of a
+   range's 4-grams only, so in wide ranges long unrelated texts look alike. Of the ties of a posting a
    spanning forest is kept, and its connected components are the cells. (A posting of over
    4,096 points is tied to its first as a star, which only makes cells larger.)
 2. *Regions.* A cell with many points is split around pivots: every point's distance to the
@@ -44,9 +46,13 @@ SHINGLE = 4
 PERCENT = 85
 REGION_POINTS = 1024
 REGION_GRAMS = 1 << 20
-RANGES = 64
+RANGES = 64  # of a small set, and the number that all sets are compared by first
 TIED_POINTS = 4096
+TIED_RANGES = 1 << 24  # ranges of one posting that are held at once, in all its points
+ROUNDS = 4  # the postings are matched in so many rounds, so that a part of their shuffles is on disk
+ROUND_ROWS = 1 << 22  # postings that are not worth another round
 BUCKET_ROWS = 1 << 16  # rows of postings with one least point that meet in a task
+BUCKET_BYTES = 16 << 20  # ranges of the points of such rows
 TIED_NODES = 1_000_000  # points that a task has tied before it gives its ties out
 SETTLED_BYTES = 16 << 20  # sets of regions that are joined before their rows are given out
 CHUNK_BYTES = 2 << 20  # sets, on average, that are measured against their pivots at once
@@ -139,6 +145,30 @@ def postings_of(grams, node: int, percent: int):
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+def range_counts(grams) -> bytes:
+    """How many of a set's grams are in each range of the hash, a byte each; a power of two of ranges."""
+    import numpy as np
+
+    bits = max(RANGES.bit_length() - 1, (len(grams) // 4 - 1).bit_length())
+    held = np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(held, 255).astype(np.uint8).tobytes()
+
+
+def in_fewer(ranges: list[bytes], width: int):
+    """The counts of some sets in ``width`` ranges, a row each, as ``range_counts`` has them for so many."""
+    import numpy as np
+
+    out = np.zeros((len(ranges), width), dtype=np.uint8)
+    lengths = np.array([len(r) for r in ranges])
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        held = np.frombuffer(b"".join(ranges[i] for i in at), dtype=np.uint8)
+        # A count that was cut at 255 makes the sum one that is cut, too.
+        sums = held.reshape(len(at), width, length // width).sum(axis=2, dtype=np.int64)
+        out[at] = np.minimum(sums, 255)
+    return out
+
+
 def add_nodes(rows: DataFrame, text: str, shingle: int = SHINGLE) -> DataFrame:
     """The rows with ``node``, the hash of the n-gram set, ``n_shingles`` and ``ranges``.
 
@@ -167,8 +197,7 @@ def add_nodes(rows: DataFrame, text: str, shingle: int = SHINGLE) -> DataFrame:
             for grams in _distinct_grams(text_bytes(batch.column(at)), shingle):
                 nodes.append(_set_hashes(grams))
                 sizes.append(len(grams))
-                held = np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=RANGES)
-                ranges.append(np.minimum(held, 255).astype(np.uint8).tobytes())
+                ranges.append(range_counts(grams))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
@@ -229,34 +258,48 @@ def _cells(texts: DataFrame, ranges: DataFrame, percent: int, shingle: int) -> D
 
     # Aggregates and joins only, so that no posting, however many points it has, is one task's.
     posted = materialize(_fold(texts, make, "part bigint, node bigint", shingle))
-    bounds = posted.groupBy("part").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    met = materialize(bounds.where("low <> high").select("part"))
-    # A set that several tasks have met repeats its postings.
-    shared = materialize(posted.join(met, "part").distinct())
-    discard(posted, met)
+    rounds = max(1, min(ROUNDS, posted.count() // ROUND_ROWS))
+    shared = None
+    for n in range(rounds):
+        some = posted.where(F.pmod("part", F.lit(rounds)) == n)
+        bounds = some.groupBy("part").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        met = materialize(bounds.where("low <> high").select("part"))
+        # A set that several tasks have met repeats its postings.
+        found = materialize(some.join(met, "part").distinct())
+        shared = found if shared is None else shared.unionByName(found)
+        discard(met)
+    discard(posted)
     counts = shared.groupBy("part").agg(F.min("node").alias("b"), F.count("*").alias("points"))
     crowded = materialize(counts.where(F.col("points") > TIED_POINTS).select("part", "b"))
     stars = shared.join(crowded, "part").select(F.col("node").alias("a"), "b").distinct()
     # Postings of one group of near copies have its least point in common as a rule. They meet in one
     # task, or where they are many in as many as they need, so that a task ties their points once.
-    sized = counts.where(F.col("points") <= TIED_POINTS)
-    load = sized.groupBy("b").agg(F.sum("points").alias("rows"))
-    share = F.pmod(F.xxhash64("part"), F.ceil(F.col("rows") / BUCKET_ROWS))
-    buckets = sized.join(load, "b").select("part", F.xxhash64("b", share).alias("bucket"))
-    few = shared.join(buckets, "part").join(ranges, "node")
-    dealt = few.repartition("bucket").sortWithinPartitions("part", "node")
-    ties = dealt.select("part", "node", "size", "ranges").mapInArrow(
-        _tie(percent), "a bigint, b bigint"
+    sized = counts.where(F.col("points") <= TIED_POINTS).select("part", "b")
+    few = shared.join(sized, "part")
+    load = few.join(ranges.select("node", F.octet_length("ranges").alias("bytes")), "node")
+    spans = load.groupBy("b", "node").agg(F.count("*").alias("rows"), F.first("bytes").alias("bytes"))
+    load = spans.groupBy("b").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
+    shares = F.greatest(F.ceil(F.col("rows") / BUCKET_ROWS), F.ceil(F.col("bytes") / BUCKET_BYTES))
+    share = F.pmod(F.xxhash64("part"), shares)
+    placed = materialize(
+        few.join(load, "b").select(F.xxhash64("b", share).alias("bucket"), "part", "node")
     )
+    # A point's ranges come once a bucket, ahead of its postings there.
+    points = placed.select("bucket", "node").distinct().join(ranges, "node")
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("size", "bigint"), ("ranges", "binary"))]
+    both = points.select("bucket", F.lit(None).cast("bigint").alias("part"), "node", "size", "ranges")
+    both = both.unionByName(placed.select("bucket", "part", "node", *nothing))
+    dealt = both.repartition("bucket").sortWithinPartitions("bucket", F.col("part").asc_nulls_first(), "node")
+    ties = dealt.mapInArrow(_tie(percent), "a bigint, b bigint")
     cells = components(ties.unionByName(stars)).withColumnRenamed("label", "cell")
-    discard(shared, crowded)
+    discard(shared, crowded, placed)
     return cells
 
 
 def _tie(percent: int):
-    """Spanning edges of the ties in postings of at most ``TIED_POINTS``; rows come by posting.
+    """Spanning edges of the ties in postings of at most ``TIED_POINTS``.
 
-    A task remembers what it has tied, so points that are together already are not compared again,
+    Rows come by bucket, first the sizes and ranges of its points, without a ``part``, then its postings. A task remembers what it has tied, so points that are together already are not compared again,
     and gives out one edge per point in the end.
     """
 
@@ -279,8 +322,18 @@ def _tie(percent: int):
             if len(groups) == 1:
                 return
             sizes = np.array(sizes, dtype=np.int64)
-            held = np.frombuffer(b"".join(ranges), dtype=np.uint8).reshape(len(nodes), -1)
-            held = held.astype(np.int16)
+            width = min(min(map(len, ranges)), max(RANGES, 1 << (TIED_RANGES // len(nodes)).bit_length() - 1))
+            counts = [in_fewer(ranges, n) for n in sorted({RANGES, width})]
+
+            def near_to(at, others):
+                """Those of the others that may link with a point; fewer ranges rule out most at less cost."""
+                for held in counts:
+                    if len(others):
+                        apart = np.abs(held[others].astype(np.int16) - held[at]).sum(axis=1, dtype=np.int64)
+                        room = (100 - percent) * (sizes[others] + sizes[at])
+                        others = others[(100 + percent) * apart <= room]
+                return others
+
             # Breadth first: every point is compared with the points of groups not reached yet.
             group_of = np.zeros(len(nodes), dtype=np.int64)
             members = list(groups.values())
@@ -293,9 +346,7 @@ def _tie(percent: int):
                 first = root(nodes[frontier[0]])
                 while frontier and len(free):
                     at = frontier.pop()
-                    apart = np.abs(held[free] - held[at]).sum(axis=1, dtype=np.int64)
-                    near = (100 + percent) * apart <= (100 - percent) * (sizes[free] + sizes[at])
-                    for g in np.unique(group_of[free[near]]).tolist():
+                    for g in set(group_of[near_to(at, free)].tolist()):
                         above[root(nodes[members[g][0]])] = first
                         frontier += members[g]
                         free = free[group_of[free] != g]
@@ -308,18 +359,27 @@ def _tie(percent: int):
                 [pa.array(c, pa.int64()) for c in columns], ["a", "b"]
             )
 
-        part, points = None, {}
+        def ended():
+            # The same points again have the same ties, those that have none among them.
+            if len(points) > 1 and (same := tuple(points)) not in settled:
+                settled.add(same)
+                settle(points, *zip(*(known[n] for n in points)))
+
+        bucket, known, settled, part, points = None, {}, set(), None, []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != part:
-                    if len(points) > 1:
-                        settle(list(points), *zip(*points.values()))
-                    part, points = row[0], {}
+            for place, posting, node, size, ranges in zip(*(c.to_pylist() for c in batch.columns)):
+                if (place, posting) != (bucket, part):
+                    ended()
                     if len(above) > TIED_NODES:
                         yield given()
-                points[row[1]] = row[2:]
-        if len(points) > 1:
-            settle(list(points), *zip(*points.values()))
+                    if place != bucket:
+                        known, settled = {}, set()
+                    bucket, part, points = place, posting, []
+                if posting is None:
+                    known[node] = (size, ranges)
+                else:
+                    points.append(node)
+        ended()
         yield given()
 
     return tied

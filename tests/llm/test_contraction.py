@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from barweave.llm import near_join
 from barweave.llm.near_join import keep_one, near_classes, postings_of
@@ -105,3 +106,59 @@ def test_linked_sets_share_a_posting():
             right = np.sort(np.concatenate([both, rng.integers(0, 1 << 63, spare - cut, dtype=np.uint64)]))
             assert near_join.links(len(both), len(left), len(right), percent)
             assert np.intersect1d(postings_of(left, 1, percent), postings_of(right, 2, percent)).size
+
+
+def long_texts(rng: random.Random, count: int, words: int, shared: int) -> list[str]:
+    """Long texts with a passage in common, far from links; the last one is a near copy of the first."""
+    passage = [f"p{rng.randrange(10**6)}" for _ in range(shared)]
+    texts = [passage + [f"w{rng.randrange(10**9)}" for _ in range(words - shared)] for _ in range(count)]
+    texts.append([*texts[0][:-20], *(f"z{n}" for n in range(20))])
+    return [" ".join(words) for words in texts]
+
+
+def test_long_texts_with_a_common_passage_are_no_cell(spark, monkeypatch):
+    """Cells do not grow with the length of texts: only the near copies are tied."""
+    texts = long_texts(random.Random(8), 12, 4000, 1600)
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    points = near_join.add_nodes(rows, "text", 5).select("node", F.col("n_shingles").alias("size"), "ranges", "text")
+    ranges, nodes = points.drop("text"), {r.text: r.node for r in points.collect()}
+    cells = near_join._cells(rows, ranges, 80, 5)
+    assert {r.node for r in cells.collect()} == {nodes[texts[0]], nodes[texts[-1]]}
+    # Before, a region of such texts was cut into pairs of blocks, each set written once a block.
+    monkeypatch.setattr(near_join, "REGION_GRAMS", 6000)
+    split = []
+    monkeypatch.setattr(near_join, "_split", lambda *given: split.append(given) or pytest.fail("split"))
+    monkeypatch.setattr(near_join, "REGION_POINTS", 2)
+    docs = rows.withColumn("doc_id", F.lit(1) + F.monotonically_increasing_id())
+    assert near_classes(docs, percent=80, shingle=5).select("component_id").distinct().count() == 12
+    assert not split
+
+
+@pytest.mark.parametrize("tied_ranges, tied_points", [(64, 4096), (1 << 24, 3)])
+def test_postings_in_rounds_and_small_bounds(spark, monkeypatch, tied_ranges, tied_points):
+    """Rounds, few ranges at once, small buckets and stars leave the classes as they are."""
+    monkeypatch.setattr(near_join, "ROUND_ROWS", 1)
+    monkeypatch.setattr(near_join, "BUCKET_BYTES", 300)
+    monkeypatch.setattr(near_join, "TIED_RANGES", tied_ranges)
+    monkeypatch.setattr(near_join, "TIED_POINTS", tied_points)
+    rng = random.Random(tied_points)
+    texts = [*dense(rng, 12, 90), *drifting(rng, 12, 700, 8), *long_texts(rng, 4, 900, 400), *dense(rng, 3, 30)]
+    rng.shuffle(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = near_classes(rows, percent=80, shingle=5)
+    assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(brute_classes(texts, 5, 80)))
+
+
+def test_counts_in_fewer_ranges():
+    """Adding up neighbouring ranges gives what the wider range holds, cut at 255, too."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    many = np.unique(rng.integers(0, 1 << 64, 5000, dtype=np.uint64))
+    crowded = np.unique(np.concatenate([many, rng.integers(0, 1 << 50, 600, dtype=np.uint64)]))
+    for grams in (many, crowded, many[:10], many[:300]):
+        fine = near_join.range_counts(grams)
+        assert len(fine) & (len(fine) - 1) == 0 and max(64, len(grams) // 4) <= len(fine) <= max(64, len(grams) // 2)
+        for bits in (6, len(fine).bit_length() - 1):
+            direct = np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+            assert np.array_equal(near_join.in_fewer([fine, fine], 1 << bits)[1], np.minimum(direct, 255))
